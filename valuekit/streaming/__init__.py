@@ -1,0 +1 @@
+"""Every input in scope is a bounded table, so there are no streaming operators."""
