@@ -45,7 +45,8 @@ def fits_broadcast(settled: DataFrame, max_bytes: int = BROADCAST_BYTES, max_row
     files = settled.inputFiles()
     if not files:
         return True
-    listing = settled.sparkSession.read.format("binaryFile").load(files).select("length")
+    folder = files[0].rsplit("/", 1)[0]
+    listing = settled.sparkSession.read.format("binaryFile").load(folder).select("length")
     size = listing.agg(F.sum("length")).first()[0] or 0
     return size <= max_bytes and settled.count() <= max_rows
 
