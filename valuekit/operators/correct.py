@@ -70,12 +70,15 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def apply_corrections(
-    df: DataFrame, updates: DataFrame, keys: Sequence[str], value: str, new_value: str, order: Column
+    df: DataFrame, updates: DataFrame, keys: Sequence[str], value: str, new_value: str, order: Column,
+    exact: Sequence[str] = (),
 ) -> DataFrame:
-    """Set ``value`` on all rows whose keys equal an update's, ignoring case; the latest update wins."""
+    """Set ``value`` on all rows whose keys equal an update's, ignoring case (``exact`` keys: with case);
+    the latest update wins."""
     low = [f"__low_{i}" for i in range(len(keys))]
-    latest = _keyed(updates.dropna(subset=list(keys)), keys).groupBy(*low).agg(F.max_by(col(new_value), order).alias("__new"))
-    marked = attach(_keyed(df, keys), latest, low)
+    given = _keyed(updates.dropna(subset=[*keys, *exact]), keys)
+    latest = given.groupBy(*low, *[col(k) for k in exact]).agg(F.max_by(col(new_value), order).alias("__new"))
+    marked = attach(_keyed(df, keys), latest, [*low, *exact])
     changed = F.coalesce(F.col("__new"), col(value).cast("double"))
     return marked.withColumn(value, changed).drop("__new", *low)
 
