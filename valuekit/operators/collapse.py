@@ -35,7 +35,7 @@ def distinct_join(text: Column, separator: str = "/") -> Column:
 
 def token_union(text: Column, split_on: str = "[,/]", separator: str = ", ") -> Column:
     """Distinct tokens of all values, sorted and joined; empty text when there are none."""
-    tokens = F.transform(F.flatten(F.collect_set(F.split(text, split_on))), F.trim)
+    tokens = F.transform(F.flatten(F.collect_set(F.split(text, split_on))), lambda t: F.trim(t))
     return F.array_join(F.array_sort(F.array_distinct(F.filter(tokens, lambda t: t != ""))), separator)
 
 

@@ -80,8 +80,8 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
 
 
-def season_grid(leagues: DataFrame, seasons: DataFrame) -> DataFrame:
-    """Page address of every (league, base_url) and season. Both lists are short by nature."""
-    grid = leagues.crossJoin(seasons)
+def season_grid(leagues: DataFrame, seasons: Sequence[str]) -> DataFrame:
+    """Page address of every (league, base_url) in every listed season."""
+    grid = leagues.withColumn("season", F.explode(F.array(*[F.lit(s) for s in seasons])))
     season, league = F.replace("season", F.lit("-"), F.lit("_")), F.replace("league", F.lit("-"), F.lit("_"))
     return grid.withColumn("url", F.concat("base_url", "season", F.lit("/stats/"), season, F.lit("-"), league, F.lit("-Stats")))
