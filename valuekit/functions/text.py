@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 # Unicode white space and "not a letter, number, underscore or space", spelled out for Java regexes.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 PUNCTUATION = r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]"
+# Anything but Latin characters that fold to one character at most.
+NOT_PLAIN_LATIN = r"[^\x00-\xbb\xbf-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017f]"
 HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 
 
@@ -44,6 +47,15 @@ def _char_class(chars: list[str]) -> str:
     return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in spans) + "]"
 
 
+def _jamo(first: int, n: int) -> Column:
+    return F.split(F.lit(" ".join(chr(first + i) for i in range(n))), " ")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_accents(text: Column) -> Column:
     """Compatibility decomposition without combining marks.
 
@@ -56,15 +68,18 @@ def strip_accents(text: Column) -> Column:
 
     def unfold(char: Column) -> Column:
         index = F.ascii(char) - HANGUL_FIRST
-        lead = F.get(F.array(*[F.lit(chr(0x1100 + i)) for i in range(19)]), F.floor(index / 588).cast("int"))
-        vowel = F.get(F.array(*[F.lit(chr(0x1161 + i)) for i in range(21)]), F.floor(index % 588 / 28).cast("int"))
-        tail = F.get(F.array(F.lit(""), *[F.lit(chr(0x11A8 + i)) for i in range(27)]), (index % 28).cast("int"))
+        lead = F.get(_jamo(0x1100, 19), F.floor(index / 588).cast("int"))
+        vowel = F.get(_jamo(0x1161, 21), F.floor(index % 588 / 28).cast("int"))
+        tail = F.when(index % 28 > 0, F.get(_jamo(0x11A8, 27), (index % 28 - 1).cast("int"))).otherwise("")
         syllable = (char >= hangul[0]) & (char <= hangul[1])
         return F.when(syllable, F.concat(lead, vowel, tail)).otherwise(F.coalesce(F.element_at(table, char), char))
 
     wide = rf"{_char_class(list(several))}|[\x{{{HANGUL_FIRST:x}}}-\x{{{HANGUL_LAST:x}}}]"
     unfolded = F.array_join(F.transform(F.split(text, ""), unfold), "")
-    return F.translate(F.when(text.rlike(wide), unfolded).otherwise(text), source, target)
+    # Cheap tests first: ASCII needs nothing, plain Latin letters never unfold.
+    many = text.rlike(NOT_PLAIN_LATIN) & text.rlike(wide)
+    folded = F.translate(F.when(many, unfolded).otherwise(text), source, target)
+    return F.when(text.rlike(r"[^\x00-\x7f]"), folded).otherwise(text)
 
 
 def strip(text: Column) -> Column:
@@ -80,25 +95,42 @@ def drop_punctuation(text: Column) -> Column:
     return F.regexp_replace(text, PUNCTUATION, "")
 
 
+# Curly quotes and what replaces them.
+CURLY_QUOTES = "‘’‚‛“”„‟"
+STRAIGHT_QUOTES = "'" * 4 + '"' * 4
+
+
 def repair_mojibake(text: Column) -> Column:
     """Undo UTF-8 that was read as Latin-1, straighten quotes and drop control characters."""
-    latin = ~text.rlike(r"[^\x00-\xff]") & text.rlike(r"[\x80-\xff]")
-    raw = F.when(latin, F.encode(text, "ISO-8859-1"))
-    decoded = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
-    straight = F.translate(F.coalesce(decoded, text), "‘’‚‛“”„‟", "''''\"\"\"\"")
-    return F.regexp_replace(straight, r"[\x00-\x08\x0e-\x1f\x7f]", "")
+
+    def repaired(x: Column) -> Column:
+        latin = ~x.rlike(r"[^\x00-\xff]") & x.rlike(r"[\x80-\xff]")
+        decoded = let(F.when(latin, F.encode(x, "ISO-8859-1")).cast("string"), lambda d: F.when(F.is_valid_utf8(d), d))
+        straight = F.translate(F.coalesce(decoded, x), CURLY_QUOTES, STRAIGHT_QUOTES)
+        fixed = F.regexp_replace(straight, r"[\x00-\x08\x0e-\x1f\x7f]", "")
+        return F.when(x.rlike(r"[^\x09-\x0d\x20-\x7e]"), fixed).otherwise(x)
+
+    return let(text, repaired)
+
+
+def _key(fixed: Column) -> Column:
+    folded = F.replace(strip_accents(fixed), F.lit("ß"), F.lit("ss"))
+    return F.regexp_replace(F.lower(folded), rf"[-']|{SPACE}", "")
+
+
+def _spaced_key(fixed: Column) -> Column:
+    folded = drop_punctuation(let(F.lower(fixed), strip_accents))
+    return strip(F.regexp_replace(folded, rf"{SPACE}+", " "))
 
 
 def name_key(name: Column) -> Column:
     """Repaired, unaccented, lower case, without hyphens, apostrophes or spaces."""
-    folded = strip_accents(strip(repair_mojibake(name)))
-    return F.regexp_replace(F.lower(F.replace(folded, F.lit("ß"), F.lit("ss"))), rf"[-']|{SPACE}", "")
+    return let(strip(repair_mojibake(name)), _key)
 
 
 def name_key_spaced(name: Column) -> Column:
     """Repaired, unaccented, lower case, without punctuation, single spaces."""
-    folded = strip_accents(F.lower(strip(repair_mojibake(name))))
-    return strip(F.regexp_replace(drop_punctuation(folded), rf"{SPACE}+", " "))
+    return let(strip(repair_mojibake(name)), _spaced_key)
 
 
 def last_name(name: Column) -> Column:
@@ -106,8 +138,8 @@ def last_name(name: Column) -> Column:
     return F.when(name.isNotNull(), F.coalesce(name_key(F.try_element_at(words(name), F.lit(-1))), F.lit("")))
 
 
-def _with_cases(text: Column) -> list[Column]:
-    return [text, F.lower(text), drop_punctuation(text), drop_punctuation(F.lower(text))]
+def _with_cases(text: Column) -> Column:
+    return let(text, lambda x: F.array(x, F.lower(x), drop_punctuation(x), drop_punctuation(F.lower(x))))
 
 
 def _hyphenated(parts: Column) -> Column:
@@ -119,42 +151,42 @@ def _reversed(parts: Column) -> Column:
     return F.when(F.size(parts) == 2, F.concat_ws(" ", F.get(parts, F.lit(1)), F.get(parts, F.lit(0))))
 
 
+def _variants(fixed: Column) -> Column:
+    def spelled(parts: Column) -> Column:
+        last = F.try_element_at(parts, F.lit(-1))
+        initial = F.when(F.size(parts) >= 2, F.concat(F.left(F.get(parts, F.lit(0)), F.lit(1)), F.lit(" "), last))
+        texts = F.array(
+            fixed, strip_accents(fixed), F.replace(fixed, F.lit("-"), F.lit(" ")), _reversed(parts), _hyphenated(parts), initial, last
+        )
+        keys = F.array(_key(fixed), _spaced_key(fixed))
+        last_keys = let(last, lambda x: F.array(_key(x), _spaced_key(x)))
+        return let(
+            F.transform(texts, _with_cases),
+            lambda cased: F.concat(F.flatten(F.slice(cased, 1, 3)), keys, F.flatten(F.slice(cased, 4, 4)), last_keys),
+        )
+
+    return F.array_distinct(F.array_compact(let(words(fixed), spelled)))
+
+
 def name_variants(name: Column) -> Column:
     """Distinct spellings under which a name may be listed, most literal first."""
-    fixed = strip(repair_mojibake(name))
-    parts = words(fixed)
-    last = F.try_element_at(parts, F.lit(-1))
-    initial = F.when(F.size(parts) >= 2, F.concat(F.left(F.get(parts, F.lit(0)), F.lit(1)), F.lit(" "), last))
-    spellings = [
-        *_with_cases(fixed),
-        *_with_cases(strip_accents(fixed)),
-        *_with_cases(F.replace(fixed, F.lit("-"), F.lit(" "))),
-        name_key(name),
-        name_key_spaced(name),
-        *_with_cases(_reversed(parts)),
-        *_with_cases(_hyphenated(parts)),
-        *_with_cases(initial),
-        *_with_cases(last),
-        name_key(last),
-        name_key_spaced(last),
-    ]
-    return F.array_distinct(F.array_compact(F.array(*spellings)))
+    return let(strip(repair_mojibake(name)), _variants)
 
 
 def cascade_keys(name: Column) -> Column:
     """Search keys in the order they are tried: literal, respelled, reordered, lower case, all variants."""
-    fixed = repair_mojibake(name)
-    spaced = F.replace(fixed, F.lit("-"), F.lit(" "))
-    parts = words(fixed)
-    tries = [
-        fixed,
-        F.when(spaced != fixed, spaced),
-        _hyphenated(parts),
-        _reversed(parts),
-        F.when(F.lower(fixed) != fixed, F.lower(fixed)),
-    ]
-    direct = F.array(*[key for text in tries for key in (text, drop_punctuation(text))])
-    return F.array_distinct(F.array_compact(F.concat(direct, name_variants(name))))
+
+    def tried(fixed: Column) -> Column:
+        spaced = F.replace(fixed, F.lit("-"), F.lit(" "))
+        lower = F.when(F.lower(fixed) != fixed, F.lower(fixed))
+        texts = let(
+            words(fixed),
+            lambda parts: F.array(fixed, F.when(spaced != fixed, spaced), _hyphenated(parts), _reversed(parts), lower),
+        )
+        direct = F.flatten(F.transform(F.array_compact(texts), lambda x: F.array(x, drop_punctuation(x))))
+        return F.array_distinct(F.concat(direct, let(strip(fixed), _variants)))
+
+    return let(repair_mojibake(name), tried)
 
 
 def slug(text: Column) -> Column:

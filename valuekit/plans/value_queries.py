@@ -354,7 +354,7 @@ def features_enhanced(t):
 
 def part_gaps(t):
     """Retail price against the mean unit price of the part's line items; some actual prices are 0, two predictions missing."""
-    unit = F.sum("l_extendedprice") / F.sum("l_quantity")
+    unit = F.sum("l_extendedprice") / F.sum("l_quantity") * (0.3 + F.col("l_partkey") % 7 / 10.0)
     predicted = t("lineitem").groupBy("l_partkey").agg(F.when(F.col("l_partkey") > 1, unit).alias("predicted"))
     actual = t("part").select("p_partkey", "p_name", F.when(F.col("p_partkey") % 50 == 0, 0.0).otherwise(F.col("p_retailprice")).alias("actual"))
     joined = actual.join(predicted, F.col("p_partkey") == F.col("l_partkey"), "left").drop("l_partkey")
@@ -364,7 +364,7 @@ def part_gaps(t):
 SQL_GAPS = """gaps AS (SELECT p_partkey, p_name, actual, predicted, predicted - actual AS error, abs(predicted - actual) AS abs_diff,
       abs((predicted - actual) / nullif(actual, 0) * 100) AS pct_diff
     FROM (SELECT p_partkey, p_name, CASE WHEN p_partkey % 50 = 0 THEN 0.0 ELSE p_retailprice END AS actual FROM part)
-    LEFT JOIN (SELECT l_partkey, CASE WHEN l_partkey > 1 THEN sum(l_extendedprice) / sum(l_quantity) END AS predicted FROM lineitem GROUP BY 1) ON l_partkey = p_partkey)"""
+    LEFT JOIN (SELECT l_partkey, CASE WHEN l_partkey > 1 THEN sum(l_extendedprice) / sum(l_quantity) * (0.3 + l_partkey % 7 / 10.0) END AS predicted FROM lineitem GROUP BY 1) ON l_partkey = p_partkey)"""
 SQL_GAP_COLUMNS = ", ".join(["p_partkey", *[f"{sql_r4(c)} AS {c}" for c in ("actual", "predicted", "error", "abs_diff", "pct_diff")]])
 
 

@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from valuekit.session import fresh_path
 
-BROADCAST_BYTES = 16 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 500_000
 # Keys with more than 1/HOT_KEYS of all rows number fewer than HOT_KEYS, so they can be broadcast.
 HOT_KEYS = 1000
@@ -40,15 +41,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(settled: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when a settled table's files and row count stay under the broadcast bounds."""
-    files = settled.inputFiles()
-    if not files:
-        return True
-    folder = files[0].rsplit("/", 1)[0]
-    listing = settled.sparkSession.read.format("binaryFile").load(folder).select("length")
-    size = listing.agg(F.sum("length")).first()[0] or 0
-    return size <= max_bytes and settled.count() <= max_rows
+def _width(field: T.StructField) -> Column:
+    """Bytes of one cell in memory, roughly."""
+    if isinstance(field.dataType, T.AtomicType) and not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(col(field.name).cast("string")), F.lit(0)) + 16
+
+
+def settle_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``settle`` that also tells rows and bytes, observed while writing."""
+    seen = Observation()
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("long")
+    table = settle(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")))
+    found = seen.get
+    return table, found.get("n") or 0, found.get("size") or 0
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -72,8 +78,8 @@ def attach(df: DataFrame, dim: DataFrame, keys: Sequence[str], max_bytes: int =
     A small ``dim`` is broadcast. A large one is joined by shuffle, but the rows of hot keys are first
     split off and served from a broadcast of those keys alone.
     """
-    table = settle(dim)
-    if fits_broadcast(table, max_bytes):
+    table, rows, size = settle_measured(dim)
+    if rows <= BROADCAST_ROWS and size <= max_bytes:
         return null_safe_join(df, F.broadcast(table), keys, "left")
     hot = hot_keys(df, keys)
     if hot.isEmpty():
