@@ -20,14 +20,7 @@ def _common(masks: dict[str, int], window: str) -> int:
     return row.bit_count()
 
 
-@lru_cache(maxsize=100_000)
-def best_alignment(a: str, b: str) -> float:
-    """Highest 0-100 similarity of the shorter text to any stretch of the longer one."""
-    if not a or not b:
-        return 100.0 if a == b else 0.0
-    short, long = sorted((a, b), key=len)
-    if short in long:
-        return 100.0
+def _best_window(short: str, long: str) -> float:
     masks: dict[str, int] = {}
     for i, char in enumerate(short):
         masks[char] = masks.get(char, 0) | (1 << i)
@@ -39,6 +32,16 @@ def best_alignment(a: str, b: str) -> float:
     return 100.0 * best
 
 
+@lru_cache(maxsize=100_000)
+def best_alignment(a: str, b: str) -> float:
+    """Highest 0-100 similarity of the shorter text to any stretch of the longer one (of equal texts: either way)."""
+    if not a or not b:
+        return 100.0 if a == b else 0.0
+    if len(a) == len(b):
+        return max(_best_window(a, b), _best_window(b, a))
+    return _best_window(*sorted((a, b), key=len))
+
+
 @F.pandas_udf(DoubleType())
 def _alignment(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else best_alignment(x, y) for x, y in zip(a, b)], dtype="float64")
