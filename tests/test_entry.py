@@ -50,6 +50,7 @@ def test_plans(spark, name):
 
 
 def test_filters_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = QUERIES["scan_parquet"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "ReadSchema: struct<l_quantity:double,l_returnflag:string,l_shipdate" in plan
     lookup = QUERIES["partition_lookup"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
