@@ -78,7 +78,7 @@ def samples():
     }
 
 
-@pytest.mark.parametrize("limit", [scale.MEDIAN_ROWS, 20])
+@pytest.mark.parametrize("limit", [scale.MEDIAN_VALUES, 20])
 def test_medians_match_numpy(frame, limit):
     """The narrowing path (tiny limit) and the built-in one give numpy's median, per group and overall."""
     data = samples()

@@ -86,5 +86,7 @@ def apply_corrections(
 def unmatched(df: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Updates without a row to change."""
     low = [f"__low_{i}" for i in range(len(keys))]
-    present = _keyed(df.select(*[col(k) for k in keys]), keys).select(*low).distinct()
+    asked = _keyed(updates, keys).select(*low, F.lit(True).alias("__asked")).distinct()
+    rows = attach(_keyed(df.select(*[col(k) for k in keys]), keys).select(*low), asked, low)
+    present = rows.filter("__asked").select(*low).distinct()
     return _keyed(updates, keys).join(present, low, "left_anti").drop(*low)

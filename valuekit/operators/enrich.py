@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.functions.fuzzy import partial_ratio
 from valuekit.functions.paths import season_of
-from valuekit.scale import attach, col, settle
+from valuekit.scale import attach, col, pair_off, settle
 
 
 def in_season(history: DataFrame, season_end: int | None = None) -> DataFrame:
@@ -22,14 +24,15 @@ def in_season(history: DataFrame, season_end: int | None = None) -> DataFrame:
 
 def pick_value(
     df: DataFrame, history: DataFrame, id: str = "id", team: str = "squad", season_end: str = "season_end",
-    min_score: float = 80,
+    min_score: float = 80, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Value per distinct (id, team, season): of the season's entries whose club resembles the team the one
     nearest to the season's end, else the earliest entry of the whole history.
 
-    ``history`` is flat: (id, position, date, club, value). ``match_kind`` tells which rule applied.
+    ``history`` is flat: (id, position, date, club, value). ``match_kind`` tells which rule applied; ``keep``
+    names further columns of ``df`` to carry along.
     """
-    keys = [id, team, season_end]
+    keys = [id, team, season_end, *keep]
     wanted = settle(df.select(*[col(k) for k in keys]).filter(col(id).isNotNull()).distinct())
     last_day = F.make_date(F.col("season_end"), F.lit(6), F.lit(30))
     place = F.struct(F.datediff(last_day, "date").alias("days"), F.col("position").alias("position"))
@@ -38,12 +41,11 @@ def pick_value(
     per_club = (
         in_season(history)
         .withColumn("club", F.coalesce("club", F.lit("")))
-        .groupBy(F.col("id").alias("__id"), F.col("season_end").alias("__season"), "club")
+        .groupBy(F.col("id").alias(id), F.col("season_end").alias(season_end), "club")
         .agg(F.min_by(entry, place).alias("entry"))
     )
-    candidates = wanted.join(
-        per_club, (col(id) == F.col("__id")) & (col(season_end) == F.col("__season"))
-    ).filter(partial_ratio(col(team), F.col("club")) >= min_score)
+    candidates = pair_off(wanted, per_club.withColumnRenamed("club", "__club"), [id, season_end], team)
+    candidates = candidates.filter(partial_ratio(col(team), F.col("__club")) >= min_score)
     nearest = candidates.groupBy(*[col(k) for k in keys]).agg(
         F.min_by("entry", F.col("entry.place")).alias("nearest")
     )
@@ -67,14 +69,11 @@ def enrich(
 ) -> DataFrame:
     """Every row keeps its place and gets a value or NULL."""
     known = attach(df.select(col(name), col(team), col(season_end)).distinct(), matches.select(col(name), col(team), "id"), [name, team])
-    known = settle(known)
-    picked = pick_value(known, history, "id", team, season_end)
     keys = [name, team, season_end]
-    valued = attach(known, picked, ["id", team, season_end]).select(
-        *[col(k) for k in keys], F.col("value").cast("double").alias(value),
-        F.coalesce("match_kind", F.lit("none")).alias("match_kind"),
-    )
-    return attach(df.drop(value, "match_kind"), valued, keys)
+    picked = pick_value(known, history, "id", team, season_end, keep=[name])
+    valued = picked.select(*[col(k) for k in keys], F.col("value").cast("double").alias(value), "match_kind")
+    enriched = attach(df.drop(value, "match_kind"), valued, keys)
+    return enriched.withColumn("match_kind", F.coalesce("match_kind", F.lit("none")))
 
 
 def full_history(df: DataFrame, matches: DataFrame, history: DataFrame, name: str = "player", team: str = "squad") -> DataFrame:

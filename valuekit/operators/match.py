@@ -8,12 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.functions.fuzzy import partial_ratio
-from valuekit.functions.text import cascade_keys, last_name, name_key, name_key_spaced
+from valuekit.functions.text import cascade_keys, last_name, name_key, name_key_spaced, repair_mojibake
 from valuekit.operators.clean import dedupe_first
-from valuekit.scale import attach, col, settle
-
-# Pairs of one last name that a single task may score.
-PAIRS_PER_TASK = 1_000_000
+from valuekit.scale import PAIRS_PER_TASK, attach, col, pair_off, settle
 
 
 def join_on_name(
@@ -46,11 +43,18 @@ def listed_under(index: DataFrame) -> DataFrame:
 
 
 def match_by_spelling(names: DataFrame, index: DataFrame, name: str) -> DataFrame:
-    """``(name, id)`` for each distinct name whose spelling cascade hits the index; the first hit wins."""
-    wanted = names.select(col(name)).filter(col(name).isNotNull()).distinct()
-    tries = wanted.select(col(name), F.posexplode(cascade_keys(col(name))).alias("priority", "key"))
-    hits = attach(tries, listed_under(index), ["key"]).filter(F.col("id").isNotNull())
-    return hits.groupBy(col(name)).agg(F.min_by("id", "priority").alias("id"))
+    """``(name, id)`` for each distinct name whose spelling cascade hits the index; the first hit wins.
+
+    Most names hit as they stand, so that one key is tried first; only the rest unfold into all spellings.
+    """
+    wanted = settle(names.select(col(name)).filter(col(name).isNotNull()).distinct())
+    listed = settle(listed_under(index))
+    literal = settle(attach(wanted.withColumn("key", repair_mojibake(col(name))), listed, ["key"]).drop("key"))
+    found = literal.filter(F.col("id").isNotNull())
+    rest = literal.filter(F.col("id").isNull()).select(col(name))
+    tries = rest.select(col(name), F.posexplode(cascade_keys(col(name))).alias("priority", "key"))
+    hits = attach(tries, listed, ["key"]).filter(F.col("id").isNotNull())
+    return found.unionByName(hits.groupBy(col(name)).agg(F.min_by("id", "priority").alias("id")))
 
 
 def match_by_last_name(
@@ -58,8 +62,7 @@ def match_by_last_name(
 ) -> DataFrame:
     """``(name, team, id, score)`` for the club most similar among index entries of the same last name.
 
-    Only distinct (last name, team) and (last name, club) meet. A last name with many of both is cut into
-    salted slices of about ``pairs`` pairs; every pair is still scored exactly once.
+    Only distinct (last name, team) and (last name, club) meet, in slices of about ``pairs`` pairs.
     """
     wanted = people.select(col(name), col(team)).distinct().withColumn("__last", last_name(col(name)))
     wanted = settle(wanted.filter((F.col("__last") != "") & (col(team) != "")))
@@ -71,26 +74,12 @@ def match_by_last_name(
         .groupBy("__last", "__club")
         .agg(F.min(F.struct("result_rank", "id")).alias("__entry"))
     )
-    clubs = settle(clubs)
-    n_teams = teams.groupBy("__last").agg(F.count("*").alias("n_teams"))
-    n_clubs = clubs.groupBy("__last").agg(F.count("*").alias("n_clubs"))
-    slices = n_teams.join(n_clubs, "__last").select(
-        "__last", F.ceil(F.col("n_teams") * F.col("n_clubs") / F.lit(float(pairs))).cast("int").alias("__slices")
-    )
-    slices = settle(slices)
-    salted_teams = attach(teams, slices, ["__last"]).filter(F.col("__slices").isNotNull()).withColumn(
-        "__slice", F.pmod(F.xxhash64("__team"), F.col("__slices")).cast("int")
-    )
-    salted_clubs = attach(clubs, slices, ["__last"]).filter(F.col("__slices").isNotNull()).withColumn(
-        "__slice", F.explode(F.sequence(F.lit(0), F.col("__slices") - 1))
-    )
-    pairs_scored = (
-        salted_teams.drop("__slices")
-        .join(salted_clubs.drop("__slices"), ["__last", "__slice"])
+    scored = (
+        pair_off(teams, settle(clubs), ["__last"], "__team", pairs)
         .withColumn("score", partial_ratio(F.col("__team"), F.col("__club")))
         .filter(F.col("score") >= min_score)
     )
-    best = pairs_scored.groupBy("__last", "__team").agg(
+    best = scored.groupBy("__last", "__team").agg(
         F.max("score").alias("score"),
         F.min_by(F.col("__entry.id"), F.struct(-F.col("score"), F.col("__entry"))).alias("id"),
     )
@@ -100,7 +89,7 @@ def match_by_last_name(
 
 def match_entities(df: DataFrame, index: DataFrame, name: str, team: str, min_score: float = 80) -> DataFrame:
     """``(name, team, id, found_by)`` for each distinct pair that has a match."""
-    people = settle(df.select(col(name), col(team)).filter(col(name).isNotNull()).distinct())
+    people = df.select(col(name), col(team)).filter(col(name).isNotNull()).distinct()
     spelled = settle(attach(people, match_by_spelling(people, index, name), [name]))
     direct = spelled.filter(F.col("id").isNotNull()).withColumn("found_by", F.lit("spelling"))
     rest = spelled.filter(F.col("id").isNull()).select(col(name), col(team))

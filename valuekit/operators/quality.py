@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from valuekit.operators.schema import short_form
 from valuekit.scale import col
 
 
@@ -25,7 +26,7 @@ def unmapped(df: DataFrame, column: str, dim: DataFrame, dim_column: str | None
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, known and distinct values per column."""
     names = list(columns or df.columns)
-    cells = F.array(*[F.struct(F.lit(n).alias("column_name"), col(n).cast("string").alias("value")) for n in names])
+    cells = F.array(*[F.struct(F.lit(n).alias("column_name"), short_form(col(n)).alias("value")) for n in names])
     per_value = df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("times"))
     return per_value.groupBy("column_name").agg(
         F.sum("times").alias("n_rows"),

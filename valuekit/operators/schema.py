@@ -59,10 +59,16 @@ def text_columns(df: DataFrame, skip: Iterable[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in set(skip)]
 
 
+def short_form(value: Column, size: int = 64) -> Column:
+    """Text of at most ``size`` bytes to tell values apart: longer ones are replaced by their SHA-256."""
+    text = value.cast("string")
+    return F.when(F.octet_length(text) >= size, F.sha2(text, 256)).otherwise(text)
+
+
 def low_cardinality(df: DataFrame, columns: Sequence[str] | None = None, share: float = 0.5) -> DataFrame:
     """Rows, distinct values and a flag per text column: distinct values below ``share`` of the rows."""
     names = list(columns) if columns is not None else text_columns(df)
-    cells = F.array(*[F.struct(F.lit(n).alias("column_name"), col(n).alias("value")) for n in names])
+    cells = F.array(*[F.struct(F.lit(n).alias("column_name"), short_form(col(n)).alias("value")) for n in names])
     # Counting per value first keeps every step combinable before its shuffle.
     per_value = df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("times"))
     sizes = per_value.groupBy("column_name").agg(

@@ -2,6 +2,7 @@
 
 * ``settle``      - write a table once to the shared folder, so that it is fixed and its size is known
 * ``attach``      - many-to-one left join: broadcast only after a size check, hot keys split off otherwise
+* ``pair_off``    - many-to-many join that cuts keys with too many pairs into slices
 * ``positions``   - row numbers inside groups of any size, by range partitioning instead of a window
 * ``medians``     - exact medians per group; sketches narrow the range of groups too large to hold
 * ``modes``       - most frequent value per group by counting in two steps
@@ -23,8 +24,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 500_000
 # Keys with more than 1/HOT_KEYS of all rows number fewer than HOT_KEYS, so they can be broadcast.
 HOT_KEYS = 1000
-# Largest group (rows) whose values one task may hold for a median.
-MEDIAN_ROWS = 2_000_000
+# Values (rows times columns) of one group that a task may hold for medians.
+MEDIAN_VALUES = 2_000_000
+# Pairs under one key that a task may make in a join that pairs rows off.
+PAIRS_PER_TASK = 1_000_000
 SKETCH_ACCURACY = 10_000
 SKETCH_CUTS = 512
 
@@ -90,6 +93,28 @@ def attach(df: DataFrame, dim: DataFrame, keys: Sequence[str], max_bytes: int =
     return hot_rows.unionByName(cold_rows)
 
 
+def pair_off(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str, pairs: int = PAIRS_PER_TASK
+) -> DataFrame:
+    """Inner join of sides that both repeat keys, for scores that need every pair of a key.
+
+    Both sides should be reduced to distinct values first. A key with more than ``pairs`` pairs is cut into
+    slices by a hash of the left column ``spread``; the right side is repeated per slice. Each pair still
+    occurs exactly once, but no task has to make all pairs of one key.
+    """
+    on = list(keys)
+    n_left = left.groupBy(*[col(k) for k in on]).agg(F.count("*").alias("__left"))
+    n_right = right.groupBy(*[col(k) for k in on]).agg(F.count("*").alias("__right"))
+    slices = F.ceil(F.col("__left") * F.col("__right") / F.lit(float(pairs))).cast("int")
+    heavy = settle(n_left.join(n_right, on).select(*[col(k) for k in on], slices.alias("__slices")).filter("__slices > 1"))
+    if heavy.isEmpty():
+        return left.join(right, on)
+    n = F.coalesce("__slices", F.lit(1))
+    cut_left = attach(left, heavy, on).withColumn("__slice", F.pmod(F.xxhash64(col(spread)), n).cast("int"))
+    cut_right = attach(right, heavy, on).withColumn("__slice", F.explode(F.sequence(F.lit(0), n - 1)))
+    return cut_left.drop("__slices").join(cut_right.drop("__slices"), [*on, "__slice"]).drop("__slice")
+
+
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "position") -> DataFrame:
     """1-based position of each row inside its group, in ``order``.
 
@@ -126,17 +151,17 @@ def wide_form(df: DataFrame, by: Sequence[str], columns: Sequence[str], value: s
     return df.groupBy(*[col(k) for k in by]).agg(*picks)
 
 
-def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), limit: int = MEDIAN_ROWS) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), limit: int = MEDIAN_VALUES) -> DataFrame:
     """Exact, interpolated median of each column per group (NULLs ignored).
 
-    Groups up to ``limit`` rows use the built-in exact median. Beyond that the middle of every group is
+    Groups up to ``limit`` values (all columns together) use the built-in exact median. Beyond that the middle of every group is
     narrowed with quantile sketches until at most ``limit`` distinct values remain, and the middle rank
     is then read off counted values: exact, with no task holding a whole group.
     """
     keys = [col(k) for k in by]
     doubles = df.select(*keys, *[col(c).cast("double").alias(c) for c in columns])
     largest = doubles.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= limit:
+    if largest * len(columns) <= limit:
         return doubles.groupBy(*keys).agg(*[F.median(col(c)).alias(c) for c in columns])
     return _medians_by_sketch(doubles, list(columns), list(by), limit)
 

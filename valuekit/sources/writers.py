@@ -5,17 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from valuekit.scale import col
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("league", "season"), rows_per_file: int = 5_000_000) -> None:
-    """Replace only the partitions present in ``df``; large partitions go to several files and tasks."""
-    spread = df.withColumn("__spread", F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(64)))
+    """Replace only the partitions present in ``df``. The rebalance gathers each partition's rows in few
+    files and lets a partition that is too large for one task be written by several."""
     (
-        spread.hint("rebalance", *by, "__spread")
-        .drop("__spread")
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
