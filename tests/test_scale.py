@@ -38,11 +38,20 @@ def test_hot_keys_are_few_by_counting(frame):
     assert scale.hot_keys(df, ["k"], parts=51).count() == 50
 
 
-def test_settle_measured(frame):
-    table, rows, size = scale.settle_measured(frame([("abc", 1.0, ["x", "y"]), (None, None, None)], "a string, b double, c array<string>"))
+def test_settled_size(frame):
+    table = scale.settle(frame([("abc", 1.0, ["x", "y"]), (None, None, None)], "a string, b double, c array<string>"))
+    rows, size = scale.settled_size(table)
     assert rows == 2 and 30 < size < 200 and table.count() == 2
-    empty, rows, size = scale.settle_measured(frame([], "a string"))
-    assert (rows, size, empty.count()) == (0, 0, 0)
+    empty = scale.settle(frame([], "a string"))
+    assert scale.settled_size(empty) == (0, 0) and empty.count() == 0
+
+
+@pytest.mark.parametrize("pairs", [1_000_000, 10])
+def test_pair_off_makes_each_pair_once(frame, pairs):
+    left = frame([("hot", f"l{i}") for i in range(40)] + [("a", "l"), ("only", "l")], "k string, l string")
+    right = frame([("hot", i) for i in range(30)] + [("a", 1), ("none", 2)], "k string, r int")
+    got = sorted(tuple(r) for r in scale.pair_off(left, right, ["k"], "l", pairs).collect())
+    assert got == sorted([("hot", f"l{i}", j) for i in range(40) for j in range(30)] + [("a", "l", 1)])
 
 
 def test_positions_with_one_large_group_and_copies(spark):

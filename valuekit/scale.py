@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -32,18 +33,14 @@ SKETCH_ACCURACY = 10_000
 SKETCH_CUTS = 512
 
 
+_SIZES: WeakKeyDictionary[DataFrame, tuple[int, int]] = WeakKeyDictionary()
+
+
 def col(name: str) -> Column:
     """Column by exact name; names may hold spaces, signs or a leading digit."""
     return F.col(f"`{name}`")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
-    path = fresh_path(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _width(field: T.StructField) -> Column:
     """Bytes of one cell in memory, roughly."""
     if isinstance(field.dataType, T.AtomicType) and not isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -51,13 +48,20 @@ def _width(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(col(field.name).cast("string")), F.lit(0)) + 16
 
 
-def settle_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
-    """``settle`` that also tells rows and bytes, observed while writing."""
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; its size is observed on the way."""
+    path = fresh_path(df.sparkSession)
     seen = Observation()
     width = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("long")
-    table = settle(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")))
-    found = seen.get
-    return table, found.get("n") or 0, found.get("size") or 0
+    df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _SIZES[table] = (seen.get.get("n") or 0, seen.get.get("size") or 0)
+    return table
+
+
+def settled_size(table: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a table that ``settle`` returned."""
+    return _SIZES[table]
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -81,11 +85,12 @@ def attach(df: DataFrame, dim: DataFrame, keys: Sequence[str], max_bytes: int =
     A small ``dim`` is broadcast. A large one is joined by shuffle, but the rows of hot keys are first
     split off and served from a broadcast of those keys alone.
     """
-    table, rows, size = settle_measured(dim)
+    table = dim if dim in _SIZES else settle(dim)
+    rows, size = settled_size(table)
     if rows <= BROADCAST_ROWS and size <= max_bytes:
         return null_safe_join(df, F.broadcast(table), keys, "left")
     hot = hot_keys(df, keys)
-    if hot.isEmpty():
+    if settled_size(hot)[0] == 0:
         return null_safe_join(df, table, keys, "left")
     hot_dim = null_safe_join(F.broadcast(hot), table, keys, "left")
     hot_rows = null_safe_join(df, F.broadcast(settle(hot_dim)), keys, "inner")
@@ -107,7 +112,7 @@ def pair_off(
     n_right = right.groupBy(*[col(k) for k in on]).agg(F.count("*").alias("__right"))
     slices = F.ceil(F.col("__left") * F.col("__right") / F.lit(float(pairs))).cast("int")
     heavy = settle(n_left.join(n_right, on).select(*[col(k) for k in on], slices.alias("__slices")).filter("__slices > 1"))
-    if heavy.isEmpty():
+    if settled_size(heavy)[0] == 0:
         return left.join(right, on)
     n = F.coalesce("__slices", F.lit(1))
     cut_left = attach(left, heavy, on).withColumn("__slice", F.pmod(F.xxhash64(col(spread)), n).cast("int"))
