@@ -54,7 +54,7 @@ def pick_value(
     earliest = history.groupBy(F.col("id").alias(id)).agg(
         F.min_by(F.struct(F.col("value").alias("value")), age).alias("earliest")
     )
-    both = attach(attach(wanted, nearest, keys), earliest, [id])
+    both = attach(attach(wanted, earliest, [id]), nearest, keys, split_hot=False)
     found = F.col("nearest").isNotNull()
     return both.select(
         *[col(k) for k in keys],
@@ -68,7 +68,8 @@ def enrich(
     season_end: str = "season_end", value: str = "Market Value",
 ) -> DataFrame:
     """Every row keeps its place and gets a value or NULL."""
-    known = attach(df.select(col(name), col(team), col(season_end)).distinct(), matches.select(col(name), col(team), "id"), [name, team])
+    people = settle(df.select(col(name), col(team), col(season_end)).distinct())
+    known = attach(people, matches.select(col(name), col(team), "id"), [name, team])
     keys = [name, team, season_end]
     picked = pick_value(known, history, "id", team, season_end, keep=[name])
     valued = picked.select(*[col(k) for k in keys], F.col("value").cast("double").alias(value), "match_kind")

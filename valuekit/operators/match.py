@@ -49,11 +49,12 @@ def match_by_spelling(names: DataFrame, index: DataFrame, name: str) -> DataFram
     """
     wanted = names.select(col(name)).filter(col(name).isNotNull()).distinct()
     listed = settle(listed_under(index))
-    literal = settle(attach(wanted.withColumn("key", repair_mojibake(col(name))), listed, ["key"]).drop("key"))
+    literal = settle(attach(wanted.withColumn("key", repair_mojibake(col(name))), listed, ["key"], split_hot=False).drop("key"))
     found = literal.filter(F.col("id").isNotNull())
     rest = literal.filter(F.col("id").isNull()).select(col(name))
     tries = rest.select(col(name), F.posexplode(cascade_keys(col(name))).alias("priority", "key"))
-    hits = attach(tries, listed, ["key"]).filter(F.col("id").isNotNull())
+    # A plain equi-join: names are distinct here, and AQE splits a spelling that many of them share.
+    hits = tries.join(listed, "key")
     return found.unionByName(hits.groupBy(col(name)).agg(F.min_by("id", "priority").alias("id")))
 
 
@@ -83,13 +84,13 @@ def match_by_last_name(
         F.max("score").alias("score"),
         F.min_by(F.col("__entry.id"), F.struct(-F.col("score"), F.col("__entry"))).alias("id"),
     )
-    found = attach(wanted, best.withColumnRenamed("__team", team), ["__last", team]).drop("__last")
+    found = attach(wanted, best.withColumnRenamed("__team", team), ["__last", team])
     return found.filter(F.col("id").isNotNull()).select(col(name), col(team), "id", "score")
 
 
 def match_entities(df: DataFrame, index: DataFrame, name: str, team: str, min_score: float = 80) -> DataFrame:
     """``(name, team, id, found_by)`` for each distinct pair that has a match."""
-    people = df.select(col(name), col(team)).filter(col(name).isNotNull()).distinct()
+    people = settle(df.select(col(name), col(team)).filter(col(name).isNotNull()).distinct())
     spelled = settle(attach(people, match_by_spelling(people, index, name), [name]))
     direct = spelled.filter(F.col("id").isNotNull()).withColumn("found_by", F.lit("spelling"))
     rest = spelled.filter(F.col("id").isNull()).select(col(name), col(team))

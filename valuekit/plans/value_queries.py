@@ -116,7 +116,23 @@ def slugify(t):
     return t("part").select("p_partkey", text.slug(name).alias("slug"), text.profile_url(name, F.col("p_partkey"), "https://example.org/").alias("url"))
 
 
-@query("partial_ratio")
+# Scores of CTE ``pairs(a, b)``: every stretch of the longer text against the shorter one, longest common
+# subsequence row by row.
+SQL_SCORES = """ways AS (SELECT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS t FROM pairs
+      UNION SELECT a, b, b, a FROM pairs WHERE length(a) = length(b)),
+    cuts AS (SELECT a, b, s, substr(t, greatest(i, 0) + 1, least(i + length(s), length(t)) - greatest(i, 0)) AS w
+      FROM ways, generate_series(-60, 60) AS g(i) WHERE i BETWEEN 1 - length(s) AND length(t) - 1),
+    dp AS (SELECT DISTINCT s, w, 0 AS n, [0 FOR x IN range(0, length(s) + 1)] AS r FROM cuts
+      UNION ALL SELECT s, w, n + 1, [greatest(r[j + 1], coalesce(list_max([r[k] + 1 FOR k IN range(1, j + 1) IF s[k] = w[n + 1]]), 0)) FOR j IN range(0, length(s) + 1)]
+      FROM dp WHERE n < length(w)),
+    scores AS (SELECT a, b, max(200.0 * r[-1] / (length(s) + length(w))) AS score FROM cuts JOIN dp USING (s, w) WHERE n = length(w) GROUP BY a, b)"""
+
+
+@query(
+    "partial_ratio",
+    f"""WITH RECURSIVE names AS (SELECT DISTINCT p_name, p_type FROM part), pairs AS (SELECT DISTINCT lower(p_name) AS a, lower('ring ' || p_type) AS b FROM names), {SQL_SCORES}
+        SELECT p_name, p_type, {sql_r4('score')} AS score FROM names JOIN scores ON a = lower(p_name) AND b = lower('ring ' || p_type)""",
+)
 def partial_ratio(t):
     pairs = t("part").select("p_name", "p_type").distinct()
     return pairs.withColumn("score", r4(fuzzy.partial_ratio(F.col("p_name"), F.concat_ws(" ", F.lit("ring"), "p_type"))))
@@ -188,9 +204,19 @@ def candidate_cascade(t):
     return match.match_by_spelling(wanted_names(t), part_index(t), "name")
 
 
-@query("lastname_fuzzy")
+@query(
+    "lastname_fuzzy",
+    f"""WITH RECURSIVE {SQL_WANTED.replace("AS name FROM part)", "AS name, 'Fc ' || replace(p_brand, '#', '') AS team FROM part)")},
+        people AS (SELECT name, team, {SQL_KEY.format("string_split(name, ' ')[-1]")} AS last FROM wanted),
+        clubs AS (SELECT string_split(p_name, ' ')[-1] AS last, p_brand AS club, min((p_size, p_partkey)) AS entry FROM part GROUP BY 1, 2),
+        met AS (SELECT DISTINCT last, team, club, entry FROM people JOIN clubs USING (last)),
+        pairs AS (SELECT DISTINCT lower(team) AS a, lower(club) AS b FROM met), {SQL_SCORES},
+        best AS (SELECT last, team, entry, score FROM met JOIN scores ON a = lower(team) AND b = lower(club) WHERE score >= 80
+                 QUALIFY row_number() OVER (PARTITION BY last, team ORDER BY score DESC, entry) = 1)
+        SELECT name, team, struct_extract(entry, 2) AS id, {sql_r4('score')} AS score FROM people JOIN best USING (last, team)""",
+)
 def lastname_fuzzy(t):
-    people = wanted_names(t).withColumn("team", F.concat_ws(" ", F.lit("FC"), "team"))
+    people = wanted_names(t).withColumn("team", F.concat_ws(" ", F.lit("Fc"), F.replace("team", F.lit("#"), F.lit(""))))
     return match.match_by_last_name(people, part_index(t), "name", "team").withColumn("score", r4(F.col("score")))
 
 

@@ -79,18 +79,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_KEYS) -> DataF
     return settle(counts.filter(F.col("__n") * parts > total).drop("__n"))
 
 
-def attach(df: DataFrame, dim: DataFrame, keys: Sequence[str], max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def attach(
+    df: DataFrame, dim: DataFrame, keys: Sequence[str], max_bytes: int = BROADCAST_BYTES, split_hot: bool = True
+) -> DataFrame:
     """Left join ``dim`` (one row per key) to ``df`` without ever routing a hot key to one task.
 
     A small ``dim`` is broadcast. A large one is joined by shuffle, but the rows of hot keys are first
-    split off and served from a broadcast of those keys alone.
+    split off and served from a broadcast of those keys alone. That reads ``df`` more than once; callers
+    whose keys are unique in ``df`` turn it off with ``split_hot``.
     """
     table = dim if dim in _SIZES else settle(dim)
     rows, size = settled_size(table)
     if rows <= BROADCAST_ROWS and size <= max_bytes:
         return null_safe_join(df, F.broadcast(table), keys, "left")
-    hot = hot_keys(df, keys)
-    if settled_size(hot)[0] == 0:
+    hot = hot_keys(df, keys) if split_hot else None
+    if hot is None or settled_size(hot)[0] == 0:
         return null_safe_join(df, table, keys, "left")
     hot_dim = null_safe_join(F.broadcast(hot), table, keys, "left")
     hot_rows = null_safe_join(df, F.broadcast(settle(hot_dim)), keys, "inner")
