@@ -147,3 +147,33 @@ def test_publish_enrich_worklist_and_correct(spark, cleaned, tmp_path):
 def test_country_names(frame):
     df = frame([("ENG",), ("SWI",), ("XXX",)], "country_code string")
     assert {r.country_code: r.country for r in players.with_country_names(df).collect()} == {"ENG": "England", "SWI": "Switzerland", "XXX": None}
+
+
+def test_first_per_player(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("player,squad,goals\nPlayer1,,5\nPlayer1,Team A,6\nPlayer2,Team B,5\n")
+    (tmp_path / "b.csv").write_text("player,squad,goals\nPlayer1,Team C,1\n,Team D,2\n")
+    (tmp_path / "c.txt").write_text("player\nX\n")
+    rows = players.first_per_player(spark, str(tmp_path)).collect()
+    assert {(r.file_path[-5:], r.player, r.squad, r.goals) for r in rows} == {
+        ("a.csv", "Player1", "Team A", "5"), ("a.csv", "Player2", "Team B", "5"), ("b.csv", "Player1", "Team C", "1"),
+    }
+
+
+def test_predictions_and_evaluation(spark, frame, tmp_path):
+    scored = frame(
+        [("A", "2022-2023", f"P{i}", "FW", "X", 100.0, 100.0 + (i - 5) * 10) for i in range(12)] + [("B", "2022-2023", "Q", "GK", "Y", None, 5.0)],
+        "league string, season string, player string, position string, squad string, `Market Value` double, predicted_market_value double",
+    )
+    out = str(tmp_path / "predictions")
+    players.publish_predictions(scored, out, "xgboost", "fe")
+    players.publish_predictions(scored, out, "random_forest", "fe")
+    table = spark.read.parquet(out)
+    shown = players.evaluate([table], "p", model="xgboost", variant="fe", league="A", season="2022-2023")
+    assert shown["rows"].columns == ["player", "position", "squad", "Market Value", "Predicted Price"] and shown["rows"].count() == 12
+    assert [r.player for r in shown["undervalued"].collect()] == ["P0", "P1", "P2", "P3", "P4"]
+    assert [r.player for r in shown["overvalued"].collect()] == ["P11", "P10", "P9", "P8", "P7"]
+    assert sum(r.n_rows for r in shown["histogram"].collect()) == 12 and shown["scatter_extent"].first().axis_max == 160.0
+    raw = players.evaluate([table.drop("predicted_market_value")], model="xgboost", variant="fe", league="B", season="2022-2023")
+    assert set(raw) == {"rows"} and raw["rows"].count() == 1
+    with pytest.raises(FileNotFoundError):
+        players.evaluate([table], model="none", variant="fe", league="A", season="2022-2023")

@@ -13,9 +13,14 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"
 MISSING_TEXTS = ("", "n/a", "na", "null", "none", "nan", "-")
 
 
+def bare(text: Column) -> Column:
+    """Text without white space at its ends."""
+    return F.trim(text, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL (never NaN)."""
-    trimmed = F.trim(text.cast("string"))
+    trimmed = bare(text.cast("string"))
     return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
 
 
@@ -44,11 +49,11 @@ def unlog_target(target: Column) -> Column:
 
 def is_missing(value: Column, texts: Sequence[str] = MISSING_TEXTS) -> Column:
     """True for NULL, NaN and the texts that mean "no value"."""
-    text = F.lower(F.trim(value.cast("string")))
+    text = F.lower(bare(value.cast("string")))
     return value.isNull() | text.isin(*texts)
 
 
 def clean_code(text: Column, heading: str = "NATION") -> Column:
     """Last word in upper case; the heading itself and NULL give NULL."""
-    last = F.upper(F.element_at(F.split(F.trim(text), r"\s+"), -1))
+    last = F.upper(F.element_at(F.split(bare(text), r"\s+"), -1))
     return F.nullif(last, F.lit(heading))
