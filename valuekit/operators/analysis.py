@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.operators.windows import top_k
-from valuekit.scale import col, medians, null_safe_join
+from valuekit.scale import col, known, medians, null_safe_join
 
 EPSILON = 2.220446049250313e-16
 
@@ -68,7 +68,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
     """rmse, r2, mae, medae and mape (percent) per group, over rows that have both values."""
     y, p = F.col("y"), F.col("p")
     rows = df.select(*[col(k) for k in by], col(actual).cast("double").alias("y"), col(predicted).cast("double").alias("p"))
-    rows = rows.dropna(subset=["y", "p"])
+    rows = known(rows, ["y", "p"])
     squares, spread = F.sum((y - p) * (y - p)), F.var_pop(y) * F.count("*")
     r2 = (
         F.when(F.count("*") < 2, F.lit(None))

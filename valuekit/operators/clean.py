@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuekit.operators.schema import numeric_columns
-from valuekit.scale import col
+from valuekit.scale import col, known
 
 ABSENT = "absent_columns"
 
@@ -62,8 +62,8 @@ def group_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     place = F.struct(*order)
     rest = [c for c in df.columns if c not in keys]
     picks = [F.min_by(col(c), F.when(col(c).isNotNull(), place)).alias(c) for c in rest]
-    known = df.dropna(subset=list(keys))
-    return known.groupBy(*[col(k) for k in keys]).agg(*picks) if picks else known.select(*[col(k) for k in keys]).distinct()
+    rows = known(df, keys)
+    return rows.groupBy(*[col(k) for k in keys]).agg(*picks) if picks else rows.select(*[col(k) for k in keys]).distinct()
 
 
 def reject_rows(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuekit.functions.numbers import to_number
-from valuekit.scale import col
+from valuekit.scale import col, known
 
 
 def as_number(df: DataFrame, name: str) -> Column:
@@ -21,22 +21,22 @@ def weighted_mean(value: Column, weight: Column, nulls: str = "propagate") -> Co
 
     ``propagate``: one NULL value makes the mean NULL, whatever its weight. ``skip``: NULLs take no part.
     """
-    known = weight if nulls == "propagate" else F.when(value.isNotNull(), weight)
-    mean = F.sum(value * weight) / F.sum(known)
+    load = F.sum(weight if nulls == "propagate" else F.when(value.isNotNull(), weight))
+    mean = F.sum(value * weight) / load
     if nulls == "propagate":
         mean = F.when(F.count(value) == F.count("*"), mean)
-    return F.when(F.sum(known) > 0, mean).otherwise(F.avg(value))
+    return F.when(load > 0, mean).otherwise(F.avg(value))
 
 
 def distinct_join(text: Column, separator: str = "/") -> Column:
     """Distinct values, sorted and joined; empty text when there are none."""
-    return F.array_join(F.array_sort(F.collect_set(text)), separator)
+    return F.array_join(F.sort_array(F.collect_set(text)), separator)
 
 
 def token_union(text: Column, split_on: str = "[,/]", separator: str = ", ") -> Column:
     """Distinct tokens of all values, sorted and joined; empty text when there are none."""
     tokens = F.transform(F.flatten(F.collect_set(F.split(text, split_on))), lambda t: F.trim(t))
-    return F.array_join(F.array_sort(F.array_distinct(F.filter(tokens, lambda t: t != ""))), separator)
+    return F.array_join(F.sort_array(F.array_distinct(F.filter(tokens, lambda t: t != ""))), separator)
 
 
 def collapse(
@@ -74,5 +74,4 @@ def collapse(
         raise ValueError(f"unknown rule {rule!r} for {name!r}")
 
     rules = {c: r for c, r in policy.items() if c in df.columns and c not in keys}
-    known = df.dropna(subset=list(keys))
-    return known.groupBy(*[col(k) for k in keys]).agg(*[result(c, r).alias(c) for c, r in rules.items()])
+    return known(df, keys).groupBy(*[col(k) for k in keys]).agg(*[result(c, r).alias(c) for c, r in rules.items()])

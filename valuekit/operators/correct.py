@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from valuekit.functions.numbers import is_missing, to_number
 from valuekit.functions.paths import dataset_key
 from valuekit.operators.schema import resolve_value_column
-from valuekit.scale import attach, col, positions
+from valuekit.scale import attach, col, known, positions
 
 
 def missing_worklist(df: DataFrame, value: str | None = None) -> DataFrame:
@@ -48,7 +48,7 @@ def group_entries(df: DataFrame, by: Sequence[str], order: Sequence[Column], pag
     rest = [c for c in df.columns if c not in by]
     numbered = positions(df, by, order, "__nth").withColumn("page", F.floor((F.col("__nth") - 1) / page_rows))
     entry = F.struct(F.col("__nth"), *[col(c) for c in rest])
-    pages = numbered.groupBy(*[col(k) for k in by], "page").agg(F.array_sort(F.collect_list(entry)).alias("__entries"))
+    pages = numbered.groupBy(*[col(k) for k in by], "page").agg(F.sort_array(F.collect_list(entry)).alias("__entries"))
     entries = F.transform("__entries", lambda e: F.struct(*[e[c].alias(c) for c in rest]))
     return pages.select(*[col(k) for k in by], "page", entries.alias("entries"))
 
@@ -76,7 +76,7 @@ def apply_corrections(
     """Set ``value`` on all rows whose keys equal an update's, ignoring case (``exact`` keys: with case);
     the latest update wins."""
     low = [f"__low_{i}" for i in range(len(keys))]
-    given = _keyed(updates.dropna(subset=[*keys, *exact]), keys)
+    given = _keyed(known(updates, [*keys, *exact]), keys)
     latest = given.groupBy(*low, *[col(k) for k in exact]).agg(F.max_by(col(new_value), order).alias("__new"))
     marked = attach(_keyed(df, keys), latest, [*low, *exact])
     changed = F.coalesce(F.col("__new"), col(value).cast("double"))

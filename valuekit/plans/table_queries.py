@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from valuekit.functions import numbers, paths
 from valuekit.operators import clean, collapse, correct, impute, quality, schema, windows
 from valuekit.plans.registry import long, query, r4, sql_r4
-from valuekit.sources import history, html, readers
+from valuekit.session import fresh_path
+from valuekit.sources import history, html, readers, writers
 
 LINE_ORDER = [
     "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax",
@@ -45,6 +46,28 @@ def union_by_name(t):
     return readers.union_by_name([orders, customers])
 
 
+@query(
+    "partitioned_round_trip",
+    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders""",
+)
+def partitioned_round_trip(t):
+    """Written by status and priority, then read back."""
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    path = fresh_path(orders.sparkSession)
+    writers.write_partitioned(orders, path, ["o_orderstatus", "o_orderpriority"])
+    return readers.scan_parquet(orders.sparkSession, path, orders.schema).select(*orders.columns)
+
+
+@query("csv_round_trip", "SELECT c_custkey AS rank, c_name AS player, c_mktsegment AS squad FROM customer")
+def csv_round_trip(t):
+    """Written with a header, read by position, the repeated headers dropped by their content."""
+    customers = t("customer").select("c_custkey", F.col("c_name").alias("player"), "c_mktsegment")
+    path = fresh_path(customers.sparkSession)
+    writers.write_csv(customers, path)
+    raw = readers.read_raw(customers.sparkSession, path, ["rank", "player", "squad"])
+    return clean.drop_header_rows(raw, "player").select(F.col("rank").cast("long").alias("rank"), "player", "squad")
+
+
 SQL_SEASON = "(1995 + p_partkey % 7)::VARCHAR || '-' || (1996 + p_partkey % 7)::VARCHAR"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from valuekit.functions import fuzzy, numbers, paths, text
 from valuekit.functions.features import features
-from valuekit.operators import analysis, clean, collapse, enrich, match
+from valuekit.operators import analysis, clean, collapse, enrich, match, windows
 from valuekit.plans import players
 from valuekit.plans.registry import long, query, r4, sql_r4
 from valuekit.plans.table_queries import LINE_ORDER, SQL_LINE_ORDER, line_order
@@ -48,7 +48,10 @@ def name_key_spaced(t):
     return t("documents").select("doc_id", F.md5(text.name_key_spaced(F.col("text"))).alias("digest"))
 
 
-@query("last_name", rf"SELECT doc_id, {SQL_KEY.format(chr(114) + 'egexp_extract(trim(text), ' + chr(39) + '[^' + chr(92) + 's]+$' + chr(39) + ')')} AS last_name FROM documents")
+SQL_LAST_WORD = r"regexp_extract(trim(text), '[^\s]+$')"
+
+
+@query("last_name", f"SELECT doc_id, {SQL_KEY.format(SQL_LAST_WORD)} AS last_name FROM documents")
 def last_name(t):
     return t("documents").select("doc_id", text.last_name(F.col("text")).alias("last_name"))
 
@@ -92,7 +95,7 @@ def sql_variants(n: str) -> str:
     f"WITH {SQL_PART_NAMES}, v AS (SELECT p_partkey, list_sort(list_distinct({sql_variants('name')})) AS l FROM names) SELECT p_partkey, len(l) AS n_variants, array_to_string(l, '|') AS variants FROM v",
 )
 def candidate_variants(t):
-    sorted_variants = F.array_sort(text.name_variants(F.col("name")))
+    sorted_variants = F.sort_array(text.name_variants(F.col("name")))
     return part_names(t).select("p_partkey", long(F.size(sorted_variants)).alias("n_variants"), F.array_join(sorted_variants, "|").alias("variants"))
 
 
@@ -421,10 +424,8 @@ _top("top_overvalued", "overvalued", "error DESC", "error > 0")
        QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_suppkey) <= 5""",
 )
 def top_per_group(t):
-    from valuekit.operators.windows import top_k
-
     tie = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_suppkey")]
-    top = top_k(t("lineitem"), F.col("l_extendedprice"), 5, tie=tie, by=["l_returnflag"])
+    top = windows.top_k(t("lineitem"), F.col("l_extendedprice"), 5, tie=tie, by=["l_returnflag"])
     return top.select("l_returnflag", "l_orderkey", long(F.col("l_linenumber")).alias("l_linenumber"), "l_suppkey", "l_extendedprice")
 
 

@@ -48,6 +48,11 @@ def _width(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(col(field.name).cast("string")), F.lit(0)) + 16
 
 
+def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is NULL, as plain filters that reach the scan."""
+    return df.filter(reduce(and_, [col(c).isNotNull() for c in columns], F.lit(True)))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; its size is observed on the way."""
     path = fresh_path(df.sparkSession)
