@@ -13,8 +13,9 @@ def plan(df):
 
 
 @pytest.mark.parametrize("max_bytes", [scale.BROADCAST_BYTES, 0])
-def test_attach_small_and_hot(frame, max_bytes):
+def test_attach_small_and_hot(frame, monkeypatch, max_bytes):
     """A key with most rows, NULL keys and unknown keys give the same rows on both paths."""
+    monkeypatch.setattr(scale, "HOT_ROWS", 100)
     keys = ["hot"] * 3000 + [f"k{i}" for i in range(2000)] + [None] * 5
     df = frame([(k, i) for i, k in enumerate(keys)], "k string, i int")
     dim = frame([("hot", 1.0), ("k1", 2.0), (None, 3.0), ("unused", 9.0)], "k string, v double")
@@ -24,18 +25,23 @@ def test_attach_small_and_hot(frame, max_bytes):
     assert got == {(i, k): known.get(k) for i, k in enumerate(keys)}
 
 
-def test_attach_keeps_hot_rows_out_of_the_shuffle(frame):
+def test_attach_keeps_hot_rows_out_of_the_shuffle(frame, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 100)
     df = frame([("hot" if i % 3 else f"k{i}", i) for i in range(5000)], "k string, i int")
     dim = frame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 5000, 3)], "k string, v int")
     text = plan(scale.attach(df, dim, ["k"], 0))
     assert "Union" in text and "BroadcastHashJoin" in text
     assert [r.k for r in scale.hot_keys(df, ["k"]).collect()] == ["hot"]
+    assert "Union" not in plan(scale.attach(df, dim, ["k"], 0, split_hot=False))
 
 
-def test_hot_keys_are_few_by_counting(frame):
-    df = frame([(i % 50,) for i in range(5000)], "k int")
-    assert scale.hot_keys(df, ["k"], parts=50).count() == 0
-    assert scale.hot_keys(df, ["k"], parts=51).count() == 50
+def test_hot_keys_are_few(frame, monkeypatch):
+    df = frame([(min(i % 50, i % 7),) for i in range(5000)], "k int")
+    assert scale.hot_keys(df, ["k"]).isEmpty()
+    monkeypatch.setattr(scale, "HOT_ROWS", 10)
+    monkeypatch.setattr(scale, "HOT_KEYS", 2)
+    top = [r.k for r in df.groupBy("k").count().orderBy(F.desc("count")).limit(2).collect()]
+    assert sorted(r.k for r in scale.hot_keys(df, ["k"]).collect()) == sorted(top)
 
 
 def test_settled_size(frame):

@@ -44,7 +44,8 @@ def pick_value(
         .groupBy(F.col("id").alias(id), F.col("season_end").alias(season_end), "club")
         .agg(F.min_by(entry, place).alias("entry"))
     )
-    candidates = pair_off(wanted, per_club.withColumnRenamed("club", "__club"), [id, season_end], team)
+    clubs = settle(per_club.withColumnRenamed("club", "__club"))
+    candidates = pair_off(wanted, clubs, [id, season_end], team)
     candidates = candidates.filter(partial_ratio(col(team), F.col("__club")) >= min_score)
     nearest = candidates.groupBy(*[col(k) for k in keys]).agg(
         F.min_by("entry", F.col("entry.place")).alias("nearest")

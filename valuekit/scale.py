@@ -23,8 +23,9 @@ from valuekit.session import fresh_path
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 500_000
-# Keys with more than 1/HOT_KEYS of all rows number fewer than HOT_KEYS, so they can be broadcast.
+# A key with more than HOT_ROWS rows is hot, if it is among the HOT_KEYS most frequent ones.
 HOT_KEYS = 1000
+HOT_ROWS = 100_000
 # Values (rows times columns) of one group that a task may hold for medians.
 MEDIAN_VALUES = 2_000_000
 # Pairs under one key that a task may make in a join that pairs rows off.
@@ -77,11 +78,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*renamed.values())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_KEYS) -> DataFrame:
-    """Keys that hold more than ``1/parts`` of the rows: fewer than ``parts`` by counting."""
-    total = df.count()
-    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("__n"))
-    return settle(counts.filter(F.col("__n") * parts > total).drop("__n"))
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The ``HOT_KEYS`` most frequent keys, of those with more than ``HOT_ROWS`` rows.
+
+    Any other key holds at most ``1/HOT_KEYS`` of the rows or few rows altogether.
+    """
+    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("__n")).filter(F.col("__n") > HOT_ROWS)
+    return settle(counts.orderBy(F.desc("__n")).limit(HOT_KEYS).drop("__n"))
 
 
 def attach(
