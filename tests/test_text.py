@@ -32,6 +32,7 @@ def test_strip_accents_on_every_character(frame):
         ("O’Neil", "oneil", "oneil", "oneil"),
         (" Jean-Pierre  Da Silva ", "jeanpierredasilva", "jeanpierre da silva", "silva"),
         ("Ibišević Jr.", "ibisevicjr.", "ibisevic jr", "jr."),
+        ("\u3000\xa0Jo\u2003Di\x1f\u2028 ", "jodi", "jo di", "di"),
         ("", "", "", ""),
         (None, None, None, None),
     ],
@@ -93,3 +94,10 @@ def test_partial_ratio_against_brute_force(frame):
     assert got == pytest.approx([brute_ratio(a.lower(), b.lower()) for a, b in pairs])
     back = [r.s for r in df.select("i", fuzzy.partial_ratio(F.col("b"), F.col("a")).alias("s")).orderBy("i").collect()]
     assert back == pytest.approx(got)
+
+
+def test_strip_equals_python(frame):
+    spaces = [chr(c) for c in range(0x10000) if chr(c).isspace()]
+    texts = [f"{c}{c}a{c}b{c}" for c in spaces] + ["\u200bx", "ab"]
+    assert apply(frame, text.strip, texts) == [t.strip() for t in texts]
+    assert apply(frame, text.words, texts) == [t.split() for t in texts]

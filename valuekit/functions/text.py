@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unicode white space and "not a letter, number, underscore or space", spelled out for Java regexes.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 PUNCTUATION = r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]"
 # Anything but Latin characters that fold to one character at most.
@@ -83,7 +84,7 @@ def strip_accents(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def words(text: Column) -> Column:
@@ -115,7 +116,7 @@ def repair_mojibake(text: Column) -> Column:
 
 def _key(fixed: Column) -> Column:
     folded = F.replace(strip_accents(fixed), F.lit("ß"), F.lit("ss"))
-    return F.regexp_replace(F.lower(folded), rf"[-']|{SPACE}", "")
+    return F.regexp_replace(F.lower(folded), rf"[-'{SPACE[1:-1]}]+", "")
 
 
 def _spaced_key(fixed: Column) -> Column:
