@@ -1,8 +1,65 @@
-"""Corpus pipeline: the stages that turn ``documents`` into training tokens."""
+"""Corpus pipeline: the stages that turn ``documents`` into training tokens.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns a table that is written as Parquet and read again as the next one's ``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from valuekit.llm.line_dedup import dedup_lines
+from valuekit.llm.mixing import mix_sources
+from valuekit.llm.ngram_join import BROADCAST_IDS, ngram_join
+from valuekit.llm.pieces import decode_pieces, encode_pieces
+from valuekit.llm.quality import classify_quality
+from valuekit.scale import settle, settled_size
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels, doesn't reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify_quality(docs, labels).filter("predicted = 1").select(*docs.columns)
+
+
+def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every passage of lines once. Documents of which nothing is left go."""
+    deduped = dedup_lines(docs)
+    return deduped.filter((F.col("n_removed") == 0) | (F.trim("text") != "")).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five words, similarity 0.8; the one with the smallest id stays."""
+    groups = ngram_join(docs, words=5, similarity=0.8)
+    dropped = settle(groups.filter("doc_id != component_id").select("doc_id").distinct())
+    small = settled_size(dropped)[0] <= BROADCAST_IDS
+    return docs.join(F.broadcast(dropped) if small else dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights, in random order; a document may occur several times."""
+    return mix_sources(docs, tempering=0.7).select(*docs.columns)
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    encoded = docs.select("doc_id", "source", "text", encode_pieces(F.col("text")).alias("ids"))
+    checked = encoded.withColumn("decoded", decode_pieces(F.col("ids")))
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return checked.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("same"))
+
+
+STAGES = [
+    ("quality classifier", keep_quality), ("line dedup", cut_lines), ("n-gram jaccard join", drop_copies),
+    ("mixing to target weights", mix), ("sentencepiece", to_pieces),
+]
+
+# Boosted trees, the join's components and the pieces can't be said in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir))
+    return docs

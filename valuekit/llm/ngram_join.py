@@ -36,7 +36,7 @@ SPARE = 10
 # Prefix shingles that a block of documents holds.
 BLOCK_SHINGLES = 1 << 20
 # Shingles of all documents that meet in one task.
-TASK_SHINGLES = 4_000_000
+TASK_SHINGLES = 1_000_000
 # Lists above this length are probed, not merged, as far as the threshold allows.
 SHORT_LIST = 16
 # Ids that may be broadcast to select documents by; beyond that the texts are shuffled.

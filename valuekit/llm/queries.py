@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuekit.llm.line_dedup import dedup_lines
+from valuekit.llm.mixing import mix_sources
+from valuekit.llm.near_vectors import near_duplicates
+from valuekit.llm.nearest import nearest
 from valuekit.llm.ngram_join import ngram_join
+from valuekit.llm.pieces import decode_pieces, encode_pieces
+from valuekit.llm.pii import BASE as PII_BASE
+from valuekit.llm.pii import find_pii, span_text
+from valuekit.llm.quality import classify_quality
+from valuekit.llm.secrets import BASE as SECRET_BASE
+from valuekit.llm.secrets import find_secrets
+from valuekit.llm.token_files import read_tokens, write_tokens
+from valuekit.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +44,135 @@ def query(name: str, table: str, sql: str | None = None):
 @query("op2_ngram_jaccard_join", "documents")
 def op2(docs: DataFrame) -> DataFrame:
     return ngram_join(docs, words=3, similarity=0.9)
+
+
+# Mean rates by size to the power 0.7; a draw is the number of Poisson probabilities summed up that its uniform number exceeds.
+MIX_SQL = """
+WITH sizes AS (
+  SELECT source, greatest(sum(coalesce(length(text), 0)), 1)::DOUBLE AS size FROM documents GROUP BY source
+), totals AS (
+  SELECT sum(size) AS everything, sum(pow(size, 0.7)) AS weights FROM sizes
+), rates AS (
+  SELECT source, pow(size, 0.7) / weights * everything / size AS mean FROM sizes, totals
+), split AS (
+  SELECT source, greatest(ceil(mean / 64), 1)::BIGINT AS draws, mean / greatest(ceil(mean / 64), 1) AS mean FROM rates
+), masses AS (
+  SELECT source, draws, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
+  FROM split, LATERAL (SELECT unnest(range(0, ceil(mean + 12 * sqrt(mean) + 20)::BIGINT + 1)) AS k)
+), upto AS (
+  SELECT source, draws, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM masses
+), uniforms AS (
+  SELECT d.doc_id, d.source, (('0x' || substr(md5('draw:0:' || d.doc_id || ':' || j), 1, 13))::BIGINT + 0.5) / 4503599627370496 AS u
+  FROM documents d JOIN split s ON s.source IS NOT DISTINCT FROM d.source, LATERAL (SELECT unnest(range(1, draws + 1)) AS j)
+), counts AS (
+  SELECT doc_id, (SELECT count(*) FROM upto c WHERE c.source IS NOT DISTINCT FROM u.source AND c.c < u.u) AS n FROM uniforms u
+), totalled AS (
+  SELECT doc_id, sum(n)::INTEGER AS n_copies FROM counts GROUP BY doc_id
+)
+SELECT d.doc_id, d.source, d.text, t.n_copies, c.copy::INTEGER AS copy,
+  ('0x' || substr(md5('order:0:' || d.doc_id || ':' || c.copy), 1, 15))::BIGINT AS shuffle_key
+FROM documents d JOIN totalled t ON d.doc_id = t.doc_id, LATERAL (SELECT unnest(range(1, n_copies + 1)) AS copy) c
+"""
+
+
+@query("op1_mix_sources", "documents", MIX_SQL)
+def op1(docs: DataFrame) -> DataFrame:
+    return mix_sources(docs.select("doc_id", "source", "text"), tempering=0.7)
+
+
+@query("op3_token_files", "documents")
+def op3(docs: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark)
+    write_tokens(docs, path if "://" in path else f"file://{path}")
+    read = read_tokens(spark, path)
+    return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+LINKS_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.93
+), reach AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.id = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+
+@query("op4_near_duplicate_vectors", "embeddings", LINKS_SQL)
+def op4(vectors: DataFrame) -> DataFrame:
+    return near_duplicates(vectors, threshold=0.93)
+
+
+@query("op5_sentencepiece", "documents")
+def op5(docs: DataFrame) -> DataFrame:
+    """Number and checksum of each text's ids; the text decoded from them, as a digest, and whether it's the same."""
+    ids = docs.select("doc_id", "text", encode_pieces(F.col("text")).alias("ids"))
+    texts = ids.select("doc_id", "text", "ids", decode_pieces(F.col("ids")).alias("decoded"))
+    return texts.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"),
+    )
+
+
+@query("op6_nearest_vectors", "embeddings")
+def op6(vectors: DataFrame) -> DataFrame:
+    return nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op7_secrets", "documents")
+def op7(docs: DataFrame) -> DataFrame:
+    found = find_secrets(docs.select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"].isin(*SECRET_BASE))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in SECRET_BASE],
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans"),
+    )
+
+
+LINES_SQL = """
+WITH cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+windows AS (
+  SELECT doc_id, i, lines[i + 1] AS a, lines[i + 2] AS b, lines[i + 3] AS c FROM cut, LATERAL (SELECT unnest(range(0, len(lines) - 2)) AS i)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS nth FROM windows WHERE trim(a) || trim(b) || trim(c) <> ''
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS at FROM placed, LATERAL (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1
+), kept AS (
+  SELECT c.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS text
+  FROM cut c, LATERAL (SELECT unnest(lines) AS line, unnest(range(0, len(lines))) AS at) l
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = c.doc_id AND g.at = l.at) GROUP BY c.doc_id
+), counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN n.n IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text, coalesce(n.n, 0)::BIGINT AS n_removed
+FROM documents d LEFT JOIN counts n ON n.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op8_line_dedup", "documents", LINES_SQL)
+def op8(docs: DataFrame) -> DataFrame:
+    return dedup_lines(docs.select("doc_id", "text"))
+
+
+@query("op9_personal_data", "documents")
+def op9(docs: DataFrame) -> DataFrame:
+    found = find_pii(docs.select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*PII_BASE))
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in [*PII_BASE, "iban"]],
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("pii")).alias("spans"),
+        F.coalesce(F.array_max(F.transform("pii", lambda s: s["score"])), F.lit(0.0)).alias("top_score"),
+    )
+
+
+@query("op10_quality_classifier", "documents")
+def op10(docs: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return classify_quality(docs, labels, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
