@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuekit.session import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,6 +18,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
             return fn(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
 
         QUERIES[name] = run

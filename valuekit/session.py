@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# Batches to Python workers are bounded by bytes: rows may hold very long texts.
+ARROW = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -16,6 +21,7 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Text aggregates (collect_set) keep hashing for more keys before they fall back to sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    **ARROW,
 }
 
 
@@ -25,7 +31,23 @@ def build_session(app: str = "valuekit", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make a session fit for this package, which is sent to the Python workers once per application: they may start anywhere."""
+    context = spark.sparkContext
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
+    if not getattr(context, "_valuekit_sent", False):
+        root = Path(__file__).resolve().parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="valuekit-"), "valuekit.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent).as_posix())
+        context.addPyFile(archive)
+        context._valuekit_sent = True
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
