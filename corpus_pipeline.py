@@ -14,11 +14,12 @@ from valuekit.llm.ngram_join import BROADCAST_IDS, ngram_join
 from valuekit.llm.pieces import decode_pieces, encode_pieces
 from valuekit.llm.quality import classify_quality
 from valuekit.scale import settle, settled_size
+from valuekit.session import ship
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels, doesn't reject."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return classify_quality(docs, labels).filter("predicted = 1").select(*docs.columns)
 
 
@@ -59,7 +60,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir))
     return docs

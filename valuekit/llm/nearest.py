@@ -22,10 +22,10 @@ class Settings:
     """``projections`` sorted arrays; a vector in the windows of ``collisions`` of them is verified; windows grow by
     ``growth`` until a share ``verified`` of a block's vectors, and ``k`` more, are."""
 
-    projections: int = 48
+    projections: int = 96
     collisions: float = 0.6
-    growth: float = 1.25
-    verified: float = 0.08
+    growth: float = 1.2
+    verified: float = 0.14
     seed: int = 11
 
 
@@ -42,7 +42,7 @@ class Projections:
         values = axes @ lifted.T
         self.order = np.argsort(values, axis=1).astype(np.int32)
         ranked = np.take_along_axis(values, self.order, axis=1)
-        self.step = 0.3 * float(values.std()) or 1.0
+        self.step = 0.4 * float(values.std()) or 1.0
         # All sorted arrays in one, each moved behind the last, so that one search finds the ends of all windows.
         reach = float(np.abs(values).max()) + self.top * float(np.sqrt((axes**2).sum(1)).max()) + 1.0
         self.shift = 4 * reach * np.arange(len(axes))

@@ -125,7 +125,8 @@ def _survivors(percent: int):
                 out["fp_a"].append(prints[0][i])
                 out["fp_b"].append(prints[1][i])
                 out["rare"].append(prefixes[part][picked])
-        return pd.DataFrame(out)
+        # Objects even when empty: Arrow can't tell lists from numbers otherwise.
+        return pd.DataFrame({**out, "rare": pd.Series(out["rare"], dtype=object)})
 
     return run
 

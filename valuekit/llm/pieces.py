@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -18,22 +18,20 @@ DEFAULT_MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 # A character that no piece covers costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
-# Words whose ids a task remembers, and the length up to which it does.
-CACHED_WORDS = 400_000
+# Words whose ids a worker remembers (the first ones it meets), and the length up to which it does.
+CACHED_WORDS = 250_000
 CACHED_LENGTH = 64
 
 
 class Pieces:
-    """The pieces of one model file: automaton for encoding, byte strings for decoding."""
+    """The pieces of one model file: byte strings for decoding, and an automaton once something is encoded."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.unknown = model.unk_id()
-        self.automaton = ahocorasick.Automaton()
         self.bytes_to_id: dict[int, int] = {}
         self.texts: list[bytes] = []
-        scores, self.single = [], set()
-        inner_space = False
+        self.scored: list[tuple[str, float, int]] = []
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -42,20 +40,23 @@ class Pieces:
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
                 self.texts.append(b"")
             else:
-                score = model.get_score(i)
-                scores.append(score)
-                self.automaton.add_word(piece, (len(piece), score, i))
+                self.scored.append((piece, model.get_score(i), i))
                 self.texts.append(piece.encode())
-                inner_space |= re.fullmatch(f"{SPACE}*[^{SPACE}]*", piece) is None
-                if len(piece) == 1:
-                    self.single.add(piece)
-        self.automaton.make_automaton()
-        self.worst = min(scores, default=0.0) - UNKNOWN_PENALTY
+        self.worst = min((score for _, score, _ in self.scored), default=0.0) - UNKNOWN_PENALTY
+        self.single = {piece for piece, _, _ in self.scored if len(piece) == 1}
         # If no piece crosses from a word into the next one's leading space, words can be encoded one by one.
-        self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if not inner_space else re.compile("(?s).+")
-        self.plain = not inner_space
+        self.plain = all(re.fullmatch(f"{SPACE}*[^{SPACE}]*", piece) for piece, _, _ in self.scored)
+        self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.plain else "(?s).+")
         self.cache: dict[str, bytes] = {}
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        automaton = ahocorasick.Automaton()
+        for piece, score, i in self.scored:
+            automaton.add_word(piece, (len(piece), score, i))
+        automaton.make_automaton()
+        return automaton
+
     def viterbi(self, text: str) -> list[int]:
         """Best segmentation: each piece that ends at a position relaxes that position's score, longest first."""
         size = len(text)
@@ -103,9 +104,7 @@ class Pieces:
         found = self.cache.get(word)
         if found is None:
             found = np.array(self.viterbi(word), "<i4").tobytes()
-            if len(word) <= CACHED_LENGTH:
-                if len(self.cache) >= CACHED_WORDS:
-                    self.cache.clear()
+            if len(word) <= CACHED_LENGTH and len(self.cache) < CACHED_WORDS:
                 self.cache[word] = found
         return found
 
@@ -158,6 +157,14 @@ def decode_pieces(ids: Column, model: str | None = None) -> Column:
     @F.pandas_udf("string")
     def decode(rows: pd.Series) -> pd.Series:
         pieces = load(_resolved(model))
-        return pd.Series([pieces.decode([] if r is None else np.asarray(r).tolist()) for r in rows], index=rows.index, dtype=object)
+        return pd.Series([pieces.decode(_known(r)) for r in rows], index=rows.index, dtype=object)
+
+    return decode(ids)
+
 
-    return decode(F.filter(F.coalesce(ids, F.array().cast("array<int>")), lambda i: i.isNotNull()))
+def _known(ids: np.ndarray | None) -> list[int]:
+    """Ids without nulls, which Arrow turns into NaN."""
+    if ids is None:
+        return []
+    ids = np.asarray(ids)
+    return (ids[~np.isnan(ids)].astype(int) if ids.dtype.kind == "f" else ids).tolist()

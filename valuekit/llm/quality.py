@@ -141,7 +141,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def text_features(texts: pd.Series) -> pd.Series:
     parts = [features(raw) for _, _, raw in batches(texts)]
-    return pd.Series(list(np.concatenate(parts)) if parts else [], index=texts.index)
+    return pd.Series(list(np.concatenate(parts)) if parts else [], index=texts.index, dtype=object)
 
 
 def quality_score(trees: Trees, text: Column) -> Column:

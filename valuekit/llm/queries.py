@@ -19,7 +19,7 @@ from valuekit.llm.quality import classify_quality
 from valuekit.llm.secrets import BASE as SECRET_BASE
 from valuekit.llm.secrets import find_secrets
 from valuekit.llm.token_files import read_tokens, write_tokens
-from valuekit.session import fresh_path
+from valuekit.session import fresh_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +30,7 @@ def query(name: str, table: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            rows = spark.read.parquet(f"{folder}/{table}.parquet")
+            rows = ship(spark).read.parquet(f"{folder}/{table}.parquet")
             return fn(rows, spark, folder) if fn.__code__.co_argcount == 3 else fn(rows)
 
         QUERIES[name] = run

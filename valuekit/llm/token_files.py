@@ -28,9 +28,9 @@ HEADER = "<qqqq"  # documents, of these without id (they come first), tokens, bl
 INDEX = np.dtype([("at", "<i8"), ("least", "<u4"), ("width", "<u4"), ("exceptions", "<u4")])
 EXCEPTION = np.dtype([("place", "<u2"), ("value", "<u4")])
 
-# Texts that a task encodes at a time, words whose ids a worker remembers, and words joined for one call.
+# Texts that a task encodes at a time, words whose ids a worker remembers (the first ones it meets), and words joined for one call.
 BATCH_CHARS = 1 << 21
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 500_000
 CACHED_LENGTH = 64
 JOINED_WORDS = 512
 
@@ -152,11 +152,9 @@ class Encoder:
                 split.append(rest)
         needed = set().union(*split)
         missing = list(needed.difference(self.words))
-        if len(self.words) + len(missing) > CACHED_WORDS:
-            self.words.clear()
-            missing = list(needed)
+        room = CACHED_WORDS - len(self.words)
         learnt = self._learn(missing)
-        once = {w: ids for w, ids in learnt.items() if len(w) > CACHED_LENGTH}
+        once = [w for k, w in enumerate(missing) if k >= room or len(w) > CACHED_LENGTH]
         self.words.update(learnt)
         for i, head, rest in zip(plain, self._encoded(heads), split):
             out[i] = head + b"".join(map(self.words.__getitem__, rest))
