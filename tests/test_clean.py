@@ -208,3 +208,9 @@ def test_group_std_and_top_k(frame):
     top = windows.top_k(df, F.col("v"), 1, by=["g"])
     assert {(r.g, r.v) for r in top.collect()} == {("a", 3.0), ("b", 5.0), (None, 2.0)} and "WindowGroupLimit" in plan(top)
     assert "TakeOrderedAndProject" in plan(windows.top_k(df, F.col("v"), 2, tie=[F.col("g")]))
+
+
+def test_collapse_joins_texts_where_no_number_is(frame):
+    df = frame([("a", 1.0, "25-100"), ("a", 1.0, "24-200"), ("b", 1.0, "2000"), ("b", 3.0, "1996"), ("c", 1.0, None)], "k string, w double, born string")
+    got = {r.k: r.born for r in collapse.collapse(df, ["k"], "w", {"born": "wmean_or_join"}).collect()}
+    assert got == {"a": "24-200/25-100", "b": "1997.0", "c": None}

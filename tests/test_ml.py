@@ -136,6 +136,45 @@ def test_report_goes_on_past_a_bad_variant(players):
     tables = {"bad": players.drop(TARGET), "good": players}
     kept = []
     report = train.train_report(tables, "Linear Regression", TARGET, "player", ["team"], on_model=lambda v, m: kept.append(v), grid={"alpha": [1.0]}, folds=3)
-    assert {r.variant for r in report.collect()} == {"good"} and kept == ["good"] and report.count() == 2
+    rows = report.collect()
+    assert kept == ["good"] and [r.variant for r in rows].count("good") == 2 and all(r.set_aside == 0 for r in rows if r.variant == "good")
+    bad = [r for r in rows if r.variant == "bad"]
+    assert len(bad) == 1 and "to train on" in bad[0].error and bad[0].rmse is None
     with pytest.raises(RuntimeError):
         train.train_report({"bad": players.drop(TARGET)}, "Linear Regression", TARGET, "player")
+
+
+def test_halving_fits_small_tables(players, monkeypatch):
+    """All 540 settings of the forest on 80 groups: no round may leave a fold empty."""
+    seen = []
+
+    def judged(pipeline, maps, df, target, fold, folds, parallelism):
+        seen.append((len(maps), {r[0] for r in df.select(fold).distinct().collect()}))
+        return None, [float(i) for i in range(len(maps))]
+
+    monkeypatch.setattr(search, "cross_validate", judged)
+    rows = prep.group_folds(players.filter("player < 'p70'"), "player", 5)
+    _, maps = models.forest()
+    assert search.halving_search(None, maps, rows, TARGET, folds=5, group="player")[1] == maps[0]
+    assert [n for n, _ in seen][0] == 540 and all(folds == set(range(5)) for _, folds in seen)
+
+
+def test_report_counts_rows_set_aside(players):
+    rows = players.withColumn(TARGET, F.when(F.col("goals") == 3, -5.0).otherwise(F.col(TARGET)))
+    report = train.train_report({"v": rows}, "Linear Regression", TARGET, "player", ["team"], grid={"alpha": [1.0]}, folds=3).collect()
+    assert {r.set_aside for r in report} == {rows.filter(F.col(TARGET) == -5.0).count()} and all(r.error is None for r in report)
+
+
+def test_hashed_texts_train_too(players):
+    model = models.Ridge(labelCol=models.LOG_LABEL)
+    rows = prep.features_target(players, TARGET, [])
+    fitted = models.log_pipeline(rows, model, TARGET, ["player"], hash_width=64).fit(rows)
+    assert fitted.transform(rows).select("features").first()[0].size == 64 + 3
+
+
+def test_wide_ridge_equals_the_narrow_one(players, monkeypatch):
+    rows = prep.features_target(players, TARGET, [])
+    pipeline = models.log_pipeline(rows, models.Ridge(labelCol=models.LOG_LABEL, alpha=3.0), TARGET, ["player"])
+    narrow = pipeline.fit(rows).stages[-2].coefficients.toArray()
+    monkeypatch.setattr(models, "NORMAL_COLUMNS", 1)
+    assert pipeline.fit(rows).stages[-2].coefficients.toArray() == pytest.approx(narrow, abs=1e-4)

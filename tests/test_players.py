@@ -142,6 +142,17 @@ def test_publish_enrich_worklist_and_correct(spark, cleaned, tmp_path):
     assert fixed.filter("`Market Value` = 77").count() == todo.count() == 8
     assert fixed.filter("`Market Value` IS NULL").count() == work.count() - 8
     assert fixed.columns == table.columns and correct.resolve_value_column(fixed.columns) == "Market Value"
+    updates = spark.createDataFrame(updates.collect(), updates.schema)
+    n_rows = table.count()
+    # Written back: only the folders that the updates name get new files.
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "updated").rglob("*.parquet")}
+    assert players.publish_corrections(spark, out, updates, F.col("seq")) == 2
+    after = spark.read.option("mergeSchema", True).parquet(out)
+    assert after.filter("`Market Value` = 77").count() == 8 and after.count() == n_rows
+    gone = {f for f in files if not f.exists()}
+    assert gone and all("variant=feature_engineering" in str(f) for f in gone)
+    assert all(f.stat().st_mtime_ns == at for f, at in files.items() if f not in gone)
+    assert players.publish_corrections(spark, out, updates.filter("false"), F.col("seq")) == 0
 
 
 def test_country_names(frame):

@@ -56,10 +56,26 @@ def test_settled_size(frame):
 def test_pair_off_makes_each_pair_once(frame, pairs):
     left = frame([("hot", f"l{i}") for i in range(40)] + [("a", "l"), ("only", "l")], "k string, l string")
     right = frame([("hot", i) for i in range(30)] + [("a", 1), ("none", 2)], "k string, r int")
-    got = sorted(tuple(r) for r in scale.pair_off(left, right, ["k"], "l", pairs).collect())
+    got = sorted(tuple(r) for r in scale.pair_off(left, right, ["k"], "l", "r", pairs).collect())
     assert got == sorted([("hot", f"l{i}", j) for i in range(40) for j in range(30)] + [("a", "l", 1)])
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_pair_off_cuts_the_long_side(spark, swap):
+    """One row meets 20,000: no task makes many more pairs than asked for."""
+    one = spark.createDataFrame([("hot", "x")], "k string, l string")
+    many = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("r"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = scale.pair_off(many, one, ["k"], "r", "l", 1000) if swap else scale.pair_off(one, many, ["k"], "l", "r", 1000)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 20_000 and max(sizes) <= 6000
+
+
 def test_positions_with_one_large_group_and_copies(spark):
     """One group holds most rows, many of them equal: numbers stay gapless and in order."""
     df = spark.range(20000).select(

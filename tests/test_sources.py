@@ -142,3 +142,18 @@ def test_corrections(frame):
     assert fixed.columns == df.columns
     assert {(r.player, r["Market Value"]) for r in fixed.collect()} == {("Ana", 9.0), ("ANA", 9.0), ("Bo", 3.0), (None, 4.0)}
     assert [r.v for r in correct.unmatched(df, updates, ["player", "squad"]).orderBy("v").collect()] == [7.0, 7.5]
+
+
+def test_absurd_spans_end_with_the_table(frame):
+    page = '<table id="t"><tr><td rowspan="999999999">a</td><td>b</td></tr><tr><td colspan="999999999">c</td></tr><tr><td>d</td></tr></table>'
+    cells = html.html_tables(frame([(1, page)], "page_id long, html string"), "t")
+    got = {(r.row_no, r.col_no): r.value for r in cells.filter("col_no < 3").collect()}
+    assert got == {(0, 0): "a", (1, 0): "a", (2, 0): "a", (0, 1): "b", (1, 1): "c", (1, 2): "c", (2, 1): "d"}
+    assert cells.count() == 5 + 1000
+
+
+def test_corrections_of_texts(frame):
+    df = frame([("x", "n/a"), ("Y", "5"), ("z", " - ")], "player string, v string")
+    updates = frame([("X", 7.0, 1)], "player string, new_value double, seq int")
+    got = {r.player: r.v for r in correct.apply_corrections(df, updates, ["player"], "v", "new_value", F.col("seq")).collect()}
+    assert got == {"x": 7.0, "Y": 5.0, "z": None}

@@ -5,21 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.operators.schema import numeric_columns, text_columns
 from valuekit.scale import attach, col, medians, null_safe_join, settle
 
-# One-hot columns wider than this are refused: the model could not be trained on them either.
-MAX_LEVELS = 10_000
-
 
 def features_target(df: DataFrame, target: str, drop: Sequence[str]) -> DataFrame:
     """Rows with a target, without the columns that are not trained on."""
     if target not in df.columns:
-        raise ValueError(f"DataFrame lacks {target!r} column.")
+        raise ValueError(f"no column {target!r} to train on")
     return df.filter(col(target).isNotNull()).drop(*[c for c in drop if c != target])
 
 
@@ -100,8 +97,12 @@ class NumericPrep(Estimator):
         return SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")
 
 
-def prep_stages(df: DataFrame, skip: Sequence[str], features: str = "features") -> list:
-    """Stages from raw columns to one feature vector; columns in ``skip`` take no part."""
+def prep_stages(df: DataFrame, skip: Sequence[str], features: str = "features", hash_width: int | None = None) -> list:
+    """Stages from raw columns to one feature vector; columns in ``skip`` take no part.
+
+    Texts get an indicator per level. The levels of all columns pass through the driver, so for columns with very many of them
+    callers choose ``hash_width``: indicators are then hashed into that many places, and nothing is counted or collected.
+    """
     numeric, text = numeric_columns(df, skip), text_columns(df, skip)
     stages, inputs = [], []
     if numeric:
@@ -109,18 +110,18 @@ def prep_stages(df: DataFrame, skip: Sequence[str], features: str = "features")
         stages.append(prep)
         inputs += prep.outputs()
     if text:
-        levels = df.agg(*[F.approx_count_distinct(col(c)).alias(str(i)) for i, c in enumerate(text)]).first()
-        wide = [c for i, c in enumerate(text) if levels[i] > MAX_LEVELS]
-        if wide:
-            raise ValueError(f"too many distinct values to one-hot encode: {wide}")
         filled = ", ".join(f"coalesce(`{c}`, 'missing') AS __cat_{i}" for i, c in enumerate(text))
         names, codes, hot = ([f"{p}{i}" for i in range(len(text))] for p in ("__cat_", "__code_", "__hot_"))
-        stages += [
-            SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-            # An unseen value takes the extra last code, which the encoder drops: all zeros.
-            StringIndexer(inputCols=names, outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
-        ]
-        inputs += hot
+        stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
+        if hash_width:
+            stages.append(FeatureHasher(inputCols=names, outputCol="__hashed", numFeatures=hash_width))
+            inputs.append("__hashed")
+        else:
+            stages += [
+                # An unseen value takes the extra last code, which the encoder drops: all zeros.
+                StringIndexer(inputCols=names, outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"),
+                OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
+            ]
+            inputs += hot
     stages.append(VectorAssembler(inputCols=inputs, outputCol=features))
     return stages

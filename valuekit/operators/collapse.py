@@ -49,7 +49,8 @@ def collapse(
 ) -> DataFrame:
     """One row per key (NULL keys dropped) in a single combinable aggregation.
 
-    ``policy`` names the rule per column: ``wmean`` weighted mean, ``sum``, ``join`` distinct texts (NULL
+    ``policy`` names the rule per column: ``wmean`` weighted mean, ``wmean_or_join`` the same as text, or the distinct
+    texts joined for a key that holds no number, ``sum``, ``join`` distinct texts (NULL
     when none), ``join_blank`` the same with empty text, ``tokens`` union of tokens, ``first`` by ``order``.
     The weight column itself is summed; without it every row weighs 1.
     """
@@ -61,6 +62,10 @@ def collapse(
             return F.sum(load)
         if rule == "wmean":
             return weighted_mean(as_number(df, name), load, nulls)
+        if rule == "wmean_or_join":
+            number, text = as_number(df, name), col(name).cast("string")
+            mean = weighted_mean(number, load, nulls).cast("string")
+            return F.when(F.count(number) > 0, mean).otherwise(F.nullif(distinct_join(text), F.lit("")))
         if rule == "sum":
             return F.sum(as_number(df, name))
         if rule == "join":

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from valuekit.functions.numbers import is_missing, to_number
 from valuekit.functions.paths import dataset_key
@@ -74,19 +75,22 @@ def apply_corrections(
     exact: Sequence[str] = (),
 ) -> DataFrame:
     """Set ``value`` on all rows whose keys equal an update's, ignoring case (``exact`` keys: with case);
-    the latest update wins."""
+    the latest update wins. The column becomes a double; texts that are no number, such as the sentinels a worklist
+    names, read as NULL."""
     low = [f"__low_{i}" for i in range(len(keys))]
     given = _keyed(known(updates, [*keys, *exact]), keys)
     latest = given.groupBy(*low, *[col(k) for k in exact]).agg(F.max_by(col(new_value), order).alias("__new"))
     marked = attach(_keyed(df, keys), latest, [*low, *exact])
-    changed = F.coalesce(F.col("__new"), col(value).cast("double"))
+    text = isinstance(df.schema[value].dataType, T.StringType)
+    changed = F.coalesce(F.col("__new"), to_number(col(value)) if text else col(value).cast("double"))
     return marked.withColumn(value, changed).drop("__new", *low)
 
 
 def unmatched(df: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Updates without a row to change."""
     low = [f"__low_{i}" for i in range(len(keys))]
-    asked = _keyed(updates, keys).select(*low, F.lit(True).alias("__asked")).distinct()
-    rows = attach(_keyed(df.select(*[col(k) for k in keys]), keys).select(*low), asked, low)
-    present = rows.filter("__asked").select(*low).distinct()
-    return _keyed(updates, keys).join(present, low, "left_anti").drop(*low)
+    asked = _keyed(updates, keys)
+    # Keys of the table that are asked for, each once: a semi join lets no other row into the shuffle.
+    rows = _keyed(df.select(*[col(k) for k in keys]), keys).select(*low)
+    present = rows.join(asked.select(*low).distinct(), low, "left_semi").distinct()
+    return asked.join(present, low, "left_anti").drop(*low)

@@ -45,8 +45,16 @@ def pick_value(
         .agg(F.min_by(entry, place).alias("entry"))
     )
     clubs = settle(per_club.withColumnRenamed("club", "__club"))
-    candidates = pair_off(wanted, clubs, [id, season_end], team)
-    candidates = candidates.filter(partial_ratio(col(team), F.col("__club")) >= min_score)
+    # Teams and clubs meet as distinct texts: each pair of them is scored once, however many people share it.
+    teams = wanted.select(col(id), col(season_end), col(team).alias("__team")).distinct()
+    met = settle(pair_off(teams, clubs.select(col(id), col(season_end), "__club").distinct(), [id, season_end], "__team", "__club"))
+    texts = met.select("__team", "__club").distinct()
+    alike = settle(texts.filter(partial_ratio(F.col("__team"), F.col("__club")) >= min_score).withColumn("__alike", F.lit(True)))
+    good = attach(met, alike, ["__team", "__club"]).filter("__alike").drop("__alike")
+    of_team = good.join(clubs, [id, season_end, "__club"]).groupBy(col(id), col(season_end), "__team").agg(
+        F.min_by("entry", F.col("entry.place")).alias("entry")
+    )
+    candidates = attach(wanted, of_team.withColumnRenamed("__team", team), [id, season_end, team]).filter(F.col("entry").isNotNull())
     nearest = candidates.groupBy(*[col(k) for k in keys]).agg(
         F.min_by("entry", F.col("entry.place")).alias("nearest")
     )
@@ -81,4 +89,6 @@ def enrich(
 def full_history(df: DataFrame, matches: DataFrame, history: DataFrame, name: str = "player", team: str = "squad") -> DataFrame:
     """All history entries of every matched (name, team), one row each."""
     people = df.select(col(name), col(team)).distinct()
-    return people.join(matches.select(col(name), col(team), "id"), [name, team]).join(history, "id")
+    known = settle(people.join(matches.select(col(name), col(team), "id"), [name, team]))
+    # Many people may have one id, and an id many entries: a heavy one is cut on both sides.
+    return pair_off(known, settle(history), ["id"], name, "position")

@@ -53,8 +53,8 @@ def match_by_spelling(names: DataFrame, index: DataFrame, name: str) -> DataFram
     found = literal.filter(F.col("id").isNotNull())
     rest = literal.filter(F.col("id").isNull()).select(col(name))
     tries = rest.select(col(name), F.posexplode(cascade_keys(col(name))).alias("priority", "key"))
-    # A plain equi-join: names are distinct here, and AQE splits a spelling that many of them share.
-    hits = tries.join(listed, "key")
+    # Many names may share a spelling: a hot one is served from a broadcast, not from one task.
+    hits = attach(tries, listed, ["key"]).filter(F.col("id").isNotNull())
     return found.unionByName(hits.groupBy(col(name)).agg(F.min_by("id", "priority").alias("id")))
 
 
@@ -76,7 +76,7 @@ def match_by_last_name(
         .agg(F.min(F.struct("result_rank", "id")).alias("__entry"))
     )
     scored = (
-        pair_off(teams, settle(clubs), ["__last"], "__team", pairs)
+        pair_off(teams, settle(clubs), ["__last"], "__team", "__club", pairs)
         .withColumn("score", partial_ratio(F.col("__team"), F.col("__club")))
         .filter(F.col("score") >= min_score)
     )

@@ -89,5 +89,5 @@ def resolve_value_column(columns: Sequence[str]) -> str | None:
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     missing = set(columns) - set(df.columns)
     if missing:
-        raise ValueError(f"Essential columns missing: {sorted(missing)}")
+        raise ValueError(f"a table needs these columns too: {sorted(missing)}")
     return df

@@ -13,13 +13,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+class Tables:
+    """``t("orders")`` reads a table, ``t.path("orders")`` is its place."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def path(self, table: str) -> str:
+        return f"{self.folder}/{table}.parquet"
+
+    def __call__(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(table))
+
+
 def query(name: str, sql: str | None = None):
-    """Register a query ``fn(t)``, where ``t("orders")`` reads a table; ``sql`` is its check, if SQL can say it."""
+    """Register a query ``fn(t)`` over ``Tables``; ``sql`` is its check, if SQL can say it."""
 
-    def register(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
+    def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            ship(spark)
-            return fn(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
+            return fn(Tables(ship(spark), folder))
 
         QUERIES[name] = run
         if sql is not None:

@@ -10,6 +10,8 @@ from valuekit.operators import analysis, clean, collapse, enrich, match, windows
 from valuekit.plans import players
 from valuekit.plans.registry import long, query, r4, sql_r4
 from valuekit.plans.table_queries import LINE_ORDER, SQL_LINE_ORDER, line_order
+from valuekit.session import fresh_path
+from valuekit.sources import readers, writers
 
 # ---- names -------------------------------------------------------------------------------------
 
@@ -500,7 +502,13 @@ def view_projection(t):
 
 @query("partition_lookup", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'")
 def partition_lookup(t):
-    return analysis.lookup(t("orders"), o_orderstatus="F", o_orderpriority="2-HIGH").select("o_orderkey", "o_custkey", "o_totalprice")
+    """Looked up in two partitioned tables; the first holds no such rows, and only one folder of the second is read."""
+    orders, keys = t("orders"), ["o_orderstatus", "o_orderpriority"]
+    paths = [fresh_path(t.spark) for _ in range(2)]
+    for rows, path in zip((orders.filter("o_orderstatus <> 'F'"), orders), paths):
+        writers.write_partitioned(rows, path, keys)
+    tables = [readers.scan_parquet(t.spark, path) for path in paths]
+    return analysis.lookup_first(tables, o_orderstatus="F", o_orderpriority="2-HIGH").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 # ---- flagship ----------------------------------------------------------------------------------

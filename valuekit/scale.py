@@ -110,25 +110,35 @@ def attach(
 
 
 def pair_off(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str, pairs: int = PAIRS_PER_TASK
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str, other: str, pairs: int = PAIRS_PER_TASK
 ) -> DataFrame:
     """Inner join of sides that both repeat keys, for scores that need every pair of a key.
 
-    Both sides should be reduced to distinct values first. A key with more than ``pairs`` pairs is cut into
-    slices by a hash of the left column ``spread``; the right side is repeated per slice. Each pair still
-    occurs exactly once, but no task has to make all pairs of one key.
+    Both sides should be reduced to distinct values first. A key with more than ``pairs`` pairs is cut on both sides by a hash of
+    ``spread`` (left) and ``other`` (right), each into so many slices that the squares they form hold about ``pairs`` pairs; a row is
+    repeated once per slice of the other side. Each pair still occurs exactly once, but no task has to make all
+    pairs of one key, also if one side has a single row.
     """
     on = list(keys)
     n_left = left.groupBy(*[col(k) for k in on]).agg(F.count("*").alias("__left"))
     n_right = right.groupBy(*[col(k) for k in on]).agg(F.count("*").alias("__right"))
-    slices = F.ceil(F.col("__left") * F.col("__right") / F.lit(float(pairs))).cast("int")
-    heavy = settle(n_left.join(n_right, on).select(*[col(k) for k in on], slices.alias("__slices")).filter("__slices > 1"))
+    edge = F.sqrt(F.lit(float(pairs)))
+    # A side shorter than the edge stays whole, and the other one is cut by that much more.
+    slices = [
+        F.greatest(F.lit(1), F.ceil(F.col(a) / F.greatest(edge, F.lit(float(pairs)) / F.col(b)))).cast("int").alias(name)
+        for a, b, name in (("__left", "__right", "__cut_left"), ("__right", "__left", "__cut_right"))
+    ]
+    many = n_left.join(n_right, on).filter(F.col("__left") * F.col("__right") > pairs)
+    heavy = settle(many.select(*[col(k) for k in on], *slices))
     if settled_size(heavy)[0] == 0:
         return left.join(right, on)
-    n = F.coalesce("__slices", F.lit(1))
-    cut_left = attach(left, heavy, on).withColumn("__slice", F.pmod(F.xxhash64(col(spread)), n).cast("int"))
-    cut_right = attach(right, heavy, on).withColumn("__slice", F.explode(F.sequence(F.lit(0), n - 1)))
-    return cut_left.drop("__slices").join(cut_right.drop("__slices"), [*on, "__slice"]).drop("__slice")
+
+    def cut(side: DataFrame, by: str, mine: str, theirs: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(col(by)), F.coalesce(f"__cut_{mine}", F.lit(1))).cast("int").alias(f"__{mine}")
+        met = F.explode(F.sequence(F.lit(0), F.coalesce(f"__cut_{theirs}", F.lit(1)) - 1)).alias(f"__{theirs}")
+        return attach(side, heavy, on).select(*[col(c) for c in side.columns], own, met)
+
+    return cut(left, spread, "left", "right").join(cut(right, other, "right", "left"), [*on, "__left", "__right"]).drop("__left", "__right")
 
 
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "position") -> DataFrame:
@@ -185,7 +195,7 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), limit
 def _medians_by_sketch(df: DataFrame, columns: list[str], by: list[str], limit: int) -> DataFrame:
     group = [*by, "__column"]
     keys = [col(k) for k in group]
-    flat = long_form(df, by, columns)
+    flat = settle(long_form(df, by, columns))
     ends = settle(
         flat.groupBy(*keys).agg(
             F.count("*").alias("__n"), F.min("__value").alias("__lo"), F.max("__value").alias("__hi")
@@ -214,7 +224,9 @@ def _medians_by_sketch(df: DataFrame, columns: list[str], by: list[str], limit:
     middle = ranked.groupBy(*keys).agg(
         ((F.max(F.when(covers_first, value)) + F.max(F.when(covers_last, value))) / 2).alias("__median")
     )
-    return wide_form(middle, by, columns, "__median")
+    # Groups without any value have no cells; they come back with NULLs, as from the built-in.
+    found = wide_form(middle, by, columns, "__median")
+    return null_safe_join(df.select(*[col(k) for k in by]).distinct(), found, by, "left") if by else found
 
 
 def _narrow(flat: DataFrame, ends: DataFrame, group: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 # Batches to Python workers are bounded by bytes: rows may hold very long texts.
-ARROW = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+ARROW = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.functions.text import parse_date
+from valuekit.functions.text import let, parse_date
 from valuekit.scale import col
 
 HISTORY = "array<struct<date:string,clubName:string,marketValue:double>>"
@@ -16,8 +16,8 @@ def explode_history(df: DataFrame, id: str, history: str, is_json: bool = True,
     a single object counts as a list of one."""
     entries = col(history)
     if is_json:
-        text = F.when(F.startswith(F.trim(entries), F.lit("{")), F.concat(F.lit("["), entries, F.lit("]"))).otherwise(entries)
-        entries = F.from_json(text, HISTORY)
+        # Bound once: the column may be computed, and is used several times.
+        entries = let(entries, lambda e: F.from_json(F.when(F.startswith(F.trim(e), F.lit("{")), F.concat(F.lit("["), e, F.lit("]"))).otherwise(e), HISTORY))
     explode = F.posexplode_outer if keep_empty else F.posexplode
     flat = df.select(col(id).alias("id"), explode(entries).alias("position", "entry"))
     return flat.select(

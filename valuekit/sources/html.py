@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from valuekit.scale import col
 
-CELLS = "page_id long, row_no int, col_no int, is_header boolean, value string"
+# Fixed value: the HTML standard reads larger column spans as this one.
+MAX_COLSPAN = 1000
 
 
 def html_comments(pages: DataFrame, containing: str | None = None) -> DataFrame:
@@ -68,24 +69,26 @@ class _TableReader(HTMLParser):
     def handle_comment(self, data):
         self.comments.append((self.wrapper > 0, data))
 
-    def grid(self) -> Iterator[tuple[int, int, bool, str]]:
-        """Cells at their grid place; a cell that spans rows or columns is repeated."""
-        taken: dict[tuple[int, int], None] = {}
+    def placed(self) -> Iterator[tuple[int, int, int, int, bool, str]]:
+        """Each cell once, with the row and column of its first place and its spans. Rows end where the table does."""
+        spanning: list[tuple[int, int, int]] = []  # first column, end column, end row of cells that reach further down
         row, at = -1, 0
         for cell_row, _, head, down, across, text in self.cells:
             if cell_row != row:
                 row, at = cell_row, 0
-            while (row, at) in taken:
-                at += 1
-            value = " ".join("".join(text).split())
-            for r in range(row, row + down):
-                for c in range(at, at + across):
-                    taken[(r, c)] = None
-                    yield r, c, head, value
+                spanning = sorted(s for s in spanning if s[2] > row)
+            for first, end, _ in spanning:
+                if first <= at < end:
+                    at = end
+            last = max(row + 1, min(row + down, self.rows + 1))
+            across = min(max(across, 1), MAX_COLSPAN)
+            yield row, at, last - row, across, head, " ".join("".join(text).split())
+            if last > row + 1:
+                spanning.append((at, at + across, last))
             at += across
 
 
-def _read(html: str, table_id: str) -> list[tuple[int, int, bool, str]]:
+def _read(html: str, table_id: str) -> list[tuple[int, int, int, int, bool, str]]:
     page = _TableReader(table_id)
     page.feed(html)
     page.close()
@@ -97,7 +100,7 @@ def _read(html: str, table_id: str) -> list[tuple[int, int, bool, str]]:
         page = _TableReader(None)
         page.feed(named[0])
         page.close()
-    return list(page.grid())
+    return list(page.placed())
 
 
 def html_tables(pages: DataFrame, table_id: str) -> DataFrame:
@@ -105,12 +108,16 @@ def html_tables(pages: DataFrame, table_id: str) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(i, r, c, h, v) for i, html in zip(batch["page_id"], batch["html"]) for r, c, h, v in _read(html or "", table_id)]
-            yield pd.DataFrame(rows, columns=["page_id", "row_no", "col_no", "is_header", "value"])
+            rows = [(i, *cell) for i, html in zip(batch["page_id"], batch["html"]) for cell in _read(html or "", table_id)]
+            yield pd.DataFrame(rows, columns=["page_id", "row", "col", "down", "across", "is_header", "value"])
 
     # Pages that never name the table need no parsing.
     named = pages.select(F.col("page_id").cast("long"), "html").filter(F.contains("html", F.lit(table_id)))
-    return named.mapInPandas(read, CELLS)
+    placed = named.mapInPandas(read, "page_id long, row int, col int, down int, across int, is_header boolean, value string")
+    # A cell leaves the worker once; the places it spans are unfolded here.
+    rows = placed.withColumn("row_no", F.explode(F.sequence(F.col("row"), F.col("row") + F.col("down") - 1)))
+    cells = rows.withColumn("col_no", F.explode(F.sequence(F.col("col"), F.col("col") + F.col("across") - 1)))
+    return cells.select("page_id", "row_no", "col_no", "is_header", "value")
 
 
 def pages_without_table(pages: DataFrame, cells: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     """One Parquet table; any other suffix is an error."""
     name = path.rstrip("/").rsplit("/", 1)[-1]
     if "." in name and not name.lower().endswith(".parquet"):
-        raise ValueError(f"Unsupported file type: {path}")
+        raise ValueError(f"not a Parquet file or folder: {path}")
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
@@ -71,7 +71,7 @@ def read_tables(spark: SparkSession, folder: str, glob: str = "updated_*.parquet
         return spark.read.option("mergeSchema", True).parquet(hadoop_glob)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
-            raise FileNotFoundError(f"No files found in {folder} matching pattern {glob!r}") from error
+            raise FileNotFoundError(f"{folder} holds nothing like {glob!r}") from error
         raise
 
 
