@@ -188,3 +188,21 @@ def test_predictions_and_evaluation(spark, frame, tmp_path):
     assert set(raw) == {"rows"} and raw["rows"].count() == 1
     with pytest.raises(FileNotFoundError):
         players.evaluate([table], model="none", variant="fe", league="A", season="2022-2023")
+
+
+def test_train_and_publish(spark, tmp_path):
+    rows = [
+        (f"p{i % 60}", "La-Liga" if i % 2 else "Serie-A", f"{2020 + i % 3}-{2021 + i % 3}", i, float(i % 9), float(20 + i % 15), 1e6 * (1 + i % 9) if i % 10 else None)
+        for i in range(300)
+    ]
+    table = spark.createDataFrame(rows, "player string, league string, season string, rank int, goals double, age double, `Market Value` double")
+    made = {"feature_engineering": table.withColumn("rate", F.col("goals") / F.col("age")), "no_feature_engineering": table, "empty": table.withColumn("Market Value", F.lit(None).cast("double"))}
+    players.publish(made, f"{tmp_path}/in")
+    report = players.train_and_publish(spark, f"{tmp_path}/in", f"{tmp_path}/out", "Linear Regression", list(made), grid={"alpha": [0.1]}, folds=3)
+    got = {(r.variant, r.error is None) for r in report.collect()}
+    assert got == {("feature_engineering", True), ("no_feature_engineering", True), ("empty", False)}
+    predictions = spark.read.option("mergeSchema", True).parquet(f"{tmp_path}/out/predictions")
+    assert predictions.count() == 600 and predictions.filter("predicted_market_value IS NULL").count() == 0
+    assert set(predictions.columns) >= {"model", "variant", "league", "season", "rate"}
+    assert spark.read.parquet(f"{tmp_path}/out/metrics").count() == report.count()
+    assert (tmp_path / "out/models/Linear_Regression/no_feature_engineering/metadata").is_dir()

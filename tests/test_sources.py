@@ -157,3 +157,9 @@ def test_corrections_of_texts(frame):
     updates = frame([("X", 7.0, 1)], "player string, new_value double, seq int")
     got = {r.player: r.v for r in correct.apply_corrections(df, updates, ["player"], "v", "new_value", F.col("seq")).collect()}
     assert got == {"x": 7.0, "Y": 5.0, "z": None}
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n2,one\n')
+    rows = readers.read_raw(spark, str(tmp_path), ["x", "y"], quoted_breaks=True).orderBy("line_order").collect()
+    assert [(r.x, r.y) for r in rows] == [("x", "y"), ("1", "two\nlines"), ("2", "one")]

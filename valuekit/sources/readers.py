@@ -16,11 +16,12 @@ FILE = "file_path"
 CORRUPT = "_corrupt_record"
 
 
-def read_raw(spark: SparkSession, path: str, names: Sequence[str], glob: str = "*.csv") -> DataFrame:
+def read_raw(spark: SparkSession, path: str, names: Sequence[str], glob: str = "*.csv", quoted_breaks: bool = False) -> DataFrame:
     """All CSV files of a folder under fixed positional names, as text.
 
     Headers of one or two rows are read as data (naming is by position) and removed later by their content.
-    ``line_order`` gives the place of a line in its file, ``file_path`` the file.
+    ``line_order`` gives the place of a line in its file, ``file_path`` the file. ``quoted_breaks`` reads line breaks inside quotes
+    as text; a file is then read by one task, while otherwise large files are split.
     """
     fields = [T.StructField(n, T.StringType()) for n in [*names, CORRUPT]]
     raw = (
@@ -29,6 +30,7 @@ def read_raw(spark: SparkSession, path: str, names: Sequence[str], glob: str = "
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", glob)
+        .option("multiLine", quoted_breaks)
         .csv(path)
     )
     line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
