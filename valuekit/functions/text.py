@@ -73,7 +73,8 @@ def strip_accents(text: Column) -> Column:
         vowel = F.get(_jamo(0x1161, 21), F.floor(index % 588 / 28).cast("int"))
         tail = F.when(index % 28 > 0, F.get(_jamo(0x11A8, 27), (index % 28 - 1).cast("int"))).otherwise("")
         syllable = (char >= hangul[0]) & (char <= hangul[1])
-        return F.when(syllable, F.concat(lead, vowel, tail)).otherwise(F.coalesce(F.element_at(table, char), char))
+        # ASCII characters, most of many texts, are not looked up.
+        return F.when(F.ascii(char) < 128, char).when(syllable, F.concat(lead, vowel, tail)).otherwise(F.coalesce(F.element_at(table, char), char))
 
     wide = rf"{_char_class(list(several))}|[\x{{{HANGUL_FIRST:x}}}-\x{{{HANGUL_LAST:x}}}]"
     unfolded = F.array_join(F.transform(F.split(text, ""), unfold), "")

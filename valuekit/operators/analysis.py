@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.operators.windows import top_k
-from valuekit.scale import col, known, medians, null_safe_join
+from valuekit.scale import col, known, medians, null_safe_join, settle
 
 EPSILON = 2.220446049250313e-16
 
@@ -90,7 +90,9 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
 
 def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
     """Counts in equal bins from the least to the greatest value; the last bin is closed. NULLs are left out."""
-    value = col(column).cast("double")
+    # Read twice, so what it is computed from should not be: one column is written and read back.
+    df = settle(df.select(col(column).cast("double").alias("value")).filter("value IS NOT NULL"))
+    value = F.col("value")
     ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     empty = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     if ends.lo is None:
@@ -108,7 +110,7 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
         .when((value >= edge(guess + 1)) & (guess < bins - 1), guess + 1)
         .otherwise(guess)
     )
-    counts = df.filter(value.isNotNull()).groupBy(exact.alias("bin")).agg(F.count("*").alias("n"))
+    counts = df.groupBy(exact.alias("bin")).agg(F.count("*").alias("n"))
     return empty.join(counts, "bin", "left").select(
         "bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n_rows"),
