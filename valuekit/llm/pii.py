@@ -16,7 +16,7 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
 
 # Characters before a span in which context words are looked for.
 CONTEXT = 48
@@ -74,7 +74,7 @@ def _mod97(text: Column) -> Column:
 Kind = tuple[str, str, Callable[[Column], Column], Callable[[Column], Column] | None, float, str]
 KINDS: list[Kind] = [
     ("email", EMAIL, lambda t: t.contains("@"), None, 0.8, "mail|contact|write|schreib|écri|corre"),
-    ("ip", IP, lambda t: t.rlike(r"[0-9]\.[0-9]"), _octets, 0.5, r"\bip\b|address|host|server|adress|direcci"),
+    ("ip", IP, lambda t: t.rlike(r"[0-9]\.[0-9]"), _octets, 0.5, "address|host|server|adress|direcci"),
     ("card", CARD, lambda t: t.rlike(r"[0-9][\x20-]?[0-9]"), _luhn, 0.6, "card|visa|master|credit|karte|carte|tarjeta|pay"),
     ("phone", PHONE, lambda t: t.contains("+"), _dialled, 0.5, "phone|call|tel|mobil|fax|ruf|appel|llam"),
     ("iban", IBAN, lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), _mod97, 0.7, "iban|account|bank|konto|compte|cuenta"),

@@ -41,7 +41,25 @@ def query(name: str, table: str, sql: str | None = None):
     return register
 
 
-@query("op2_ngram_jaccard_join", "documents")
+JOIN_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM cut
+), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, (SELECT min(other) FROM reach r WHERE r.id = s.doc_id) AS component_id FROM sets s
+"""
+
+
+@query("op2_ngram_jaccard_join", "documents", JOIN_SQL)
 def op2(docs: DataFrame) -> DataFrame:
     return ngram_join(docs, words=3, similarity=0.9)
 
@@ -126,7 +144,30 @@ def op6(vectors: DataFrame) -> DataFrame:
     return nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
-@query("op7_secrets", "documents")
+SECRETS_SQL = r"""
+WITH kinds(rank, kind, pattern, least) AS (VALUES
+  (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0),
+  (1, 'access', 'AKIA[A-Z0-9]+', 20), (2, 'hex', '[0-9a-f]+', 24), (3, 'github', 'gh[pousr]_[A-Za-z0-9]+', 40),
+  (4, 'slack', 'xox[abprs]-[A-Za-z0-9-]+', 15), (5, 'google', 'AIza[0-9A-Za-z_-]+', 39),
+  (6, 'jwt', 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+', 0), (7, 'pem', '-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----', 0)
+), found AS (
+  SELECT doc_id, rank, kind, pattern, least, regexp_extract_all(coalesce(text, ''), pattern) AS m, string_split_regex(coalesce(text, ''), pattern) AS between
+  FROM documents, kinds
+), placed AS (
+  SELECT doc_id, rank, kind, pattern, least, m[i] AS v,
+    list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM found, LATERAL (SELECT unnest(range(1, len(m) + 1)) AS i)
+), spans AS (
+  SELECT doc_id, rank, kind, start, kind || ':' || start::BIGINT || ':' || (start + length(v))::BIGINT AS span
+  FROM placed WHERE length(v) >= least AND (kind <> 'assign' OR length(regexp_extract(v, pattern, 1)) >= 6)
+)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM documents d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op7_secrets", "documents", SECRETS_SQL)
 def op7(docs: DataFrame) -> DataFrame:
     found = find_secrets(docs.select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"].isin(*SECRET_BASE))
@@ -160,7 +201,41 @@ def op8(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs.select("doc_id", "text"))
 
 
-@query("op9_personal_data", "documents")
+PERSONAL_SQL = r"""
+WITH kinds(rank, kind, pattern, score, words) AS (VALUES
+  (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+', 0.8::DOUBLE, 'mail|contact|write|schreib|écri|corre'),
+  (1, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)', 0.5, 'address|host|server|adress|direcci'),
+  (2, 'card', '[0-9]([\x20-]?[0-9])+', 0.6, 'card|visa|master|credit|karte|carte|tarjeta|pay'),
+  (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]', 0.5, 'phone|call|tel|mobil|fax|ruf|appel|llam'),
+  (4, 'iban', '[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}', 0.7, 'iban|account|bank|konto|compte|cuenta')
+), found AS (
+  SELECT doc_id, k.*, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), pattern) AS m, string_split_regex(coalesce(text, ''), pattern) AS between
+  FROM documents, kinds k
+), placed AS (
+  SELECT doc_id, rank, kind, score, words, t, m[i] AS v, regexp_replace(m[i], '[^0-9]', '', 'g') AS d, replace(m[i], ' ', '') AS c,
+    (list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start
+  FROM found, LATERAL (SELECT unnest(range(1, len(m) + 1)) AS i)
+), spans AS (
+  SELECT doc_id, rank, kind, start, kind || ':' || start || ':' || (start + length(v)) AS span,
+    score + CASE WHEN regexp_matches(lower(substr(t, greatest(start - 48, 0) + 1, start - greatest(start - 48, 0))), words) THEN 0.2::DOUBLE ELSE 0 END AS score
+  FROM placed WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) > 255)) = 0
+    WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(0, length(d)),
+      lambda k: substr(d, length(d) - k, 1)::BIGINT * (1 + k % 2) - CASE WHEN substr(d, length(d) - k, 1)::BIGINT * (1 + k % 2) > 9 THEN 9 ELSE 0 END)) % 10 = 0
+    WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
+    WHEN 'iban' THEN list_reduce(list_transform(string_split(substr(c, 5) || substr(c, 1, 4), ''), lambda x: (ascii(x) - CASE WHEN x >= 'A' THEN 55 ELSE 48 END)::BIGINT),
+      lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97) = 1
+    ELSE true END
+)
+SELECT d.doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+  count(*) FILTER (kind = 'phone') AS n_phone, count(*) FILTER (kind = 'iban') AS n_iban,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 4), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans, coalesce(max(score), 0)::DOUBLE AS top_score
+FROM documents d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op9_personal_data", "documents", PERSONAL_SQL)
 def op9(docs: DataFrame) -> DataFrame:
     found = find_pii(docs.select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["kind"].isin(*PII_BASE))
