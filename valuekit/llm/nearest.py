@@ -15,17 +15,19 @@ from valuekit.scale import settle, settled_size
 
 BLOCK = 8192
 QUERIES = 1024
+PILOTS = 16
 
 
 @dataclass(frozen=True)
 class Settings:
     """``projections`` sorted arrays; a vector in the windows of ``collisions`` of them is verified; windows grow by
-    ``growth`` until a share ``verified`` of a block's vectors, and ``k`` more, are."""
+    ``growth`` until a share ``verified`` of a block's vectors, ``least`` of them at any rate, and ``k`` more are."""
 
     projections: int = 96
     collisions: float = 0.6
-    growth: float = 1.2
+    growth: float = 1.08
     verified: float = 0.14
+    least: int = 1000
     seed: int = 11
 
 
@@ -40,23 +42,29 @@ class Projections:
         axes = np.random.default_rng(settings.seed).standard_normal((settings.projections, lifted.shape[1]))
         self.axes = axes
         values = axes @ lifted.T
-        self.order = np.argsort(values, axis=1).astype(np.int32)
-        ranked = np.take_along_axis(values, self.order, axis=1)
-        self.step = 0.4 * float(values.std()) or 1.0
+        order = np.argsort(values, axis=1)
+        ranked = np.take_along_axis(values, order, axis=1)
         # All sorted arrays in one, each moved behind the last, so that one search finds the ends of all windows.
         reach = float(np.abs(values).max()) + self.top * float(np.sqrt((axes**2).sum(1)).max()) + 1.0
         self.shift = 4 * reach * np.arange(len(axes))
         self.limit = 1.5 * reach
         self.flat = (ranked + self.shift[:, None]).ravel()
-        self.flat_order = self.order.ravel()
+        self.flat_order = order.ravel()
+        # First width: a little less than the block's own vectors need as queries.
+        self.step = 0.05 * float(values.std()) or 1.0
+        some = np.random.default_rng(settings.seed).choice(len(x), min(PILOTS, len(x)), replace=False)
+        self.step = 0.9 * min(self._reach(x[i], 1)[1] for i in some)
 
     def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
         """Vectors that collide with the query often enough, from the narrowest windows that give enough of them."""
+        return self._reach(query, k)[0]
+
+    def _reach(self, query: np.ndarray, k: int) -> tuple[np.ndarray, float]:
         s, n = self.settings, len(self.x)
         size = np.sqrt(query @ query)
         centre = self.axes[:, :-1] @ (query * (self.top / size)) + self.shift
         low = high = np.searchsorted(self.flat, centre)
-        enough, must = min(n, k + int(s.verified * n)), int(np.ceil(s.collisions * s.projections))
+        enough, must = min(n, k + max(s.least, int(s.verified * n))), int(np.ceil(s.collisions * s.projections))
         counts, width = np.zeros(n, np.int64), self.step
         while True:
             reached = min(width, self.limit)
@@ -67,7 +75,7 @@ class Projections:
             low, high = wide_low, wide_high
             hits = np.flatnonzero(counts >= must)
             if len(hits) >= enough or reached == self.limit:
-                return hits
+                return hits, width
             width *= s.growth
 
     def best(self, query: np.ndarray, own: np.ndarray, k: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +139,8 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, settings: Settings =
     batch = F.pmod(F.xxhash64(F.lit("query"), "vec_id"), F.lit(batches)).cast("int")
     asked = asking.groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn("batch", batch).groupBy("batch").applyInPandas(_pack("batch", length), "batch int, ids binary, vecs binary")
     asked = settle(asked).select(F.col("ids").alias("query_ids"), F.col("vecs").alias("query_vecs"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    met = asked.join(held, "block").sortWithinPartitions("block")
+    # Few, heavy rows: as many tasks as blocks, which no size of the data makes fewer.
+    met = asked.repartition(blocks, "block").join(held.repartition(blocks, "block"), "block").sortWithinPartitions("block")
     found = met.mapInPandas(_search(length, k, settings), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
