@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
 from functools import cached_property, lru_cache
 
@@ -18,9 +19,10 @@ DEFAULT_MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 # A character that no piece covers costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
-# Words whose ids a worker remembers (the first ones it meets), and the length up to which it does.
-CACHED_WORDS = 250_000
+# Words whose ids a worker remembers (the first ones it meets twice), and the length up to which it does.
+CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
+MET_SLOTS = 1 << 22
 
 
 class Pieces:
@@ -47,7 +49,10 @@ class Pieces:
         # If no piece crosses from a word into the next one's leading space, words can be encoded one by one.
         self.plain = all(re.fullmatch(f"{SPACE}*[^{SPACE}]*", piece) for piece, _, _ in self.scored)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.plain else "(?s).+")
+        # Two characters that stand side by side in no piece always part: what lies between such places is cached on its own.
+        self.inner = {piece[k : k + 2] for piece, _, _ in self.scored for k in range(len(piece) - 1)}
         self.cache: dict[str, bytes] = {}
+        self.met = bytearray(MET_SLOTS)
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -60,53 +65,69 @@ class Pieces:
     def viterbi(self, text: str) -> list[int]:
         """Best segmentation: each piece that ends at a position relaxes that position's score, longest first."""
         size = len(text)
-        best, back = [0.0] + [-1e300] * size, [(0, -1)] * (size + 1)
-        known = self.single.issuperset(text)
-        done = 0
-        for end, (length, score, piece) in self.automaton.iter(text):
-            end += 1
-            if not known:
-                while done < end - 1:
+        best, back = [0.0] + [-1e300] * size, [None] * (size + 1)
+        if self.single.issuperset(text):
+            for end, piece in self.automaton.iter(text):
+                total = best[end + 1 - piece[0]] + piece[1]
+                if total > best[end + 1]:
+                    best[end + 1] = total
+                    back[end + 1] = piece
+        else:
+            done = 0
+            for end, piece in self.automaton.iter(text):
+                while done < end:
                     done += 1
                     self._unknown(text, best, back, done)
-            total = best[end - length] + score
-            if total > best[end]:
-                best[end] = total
-                back[end] = length, piece
-        if not known:
-            while done < size:
-                done += 1
-                self._unknown(text, best, back, done)
+                total = best[end + 1 - piece[0]] + piece[1]
+                if total > best[end + 1]:
+                    best[end + 1] = total
+                    back[end + 1] = piece
+            for end in range(done + 1, size + 1):
+                self._unknown(text, best, back, end)
         out, at = [], size
         while at:
-            length, piece = back[at]
-            if piece < 0:
+            piece = back[at]
+            if piece[2] < 0:
                 out.extend(reversed(self._spelled(text[at - 1])))
-                at -= 1
             else:
-                out.append(piece)
-                at -= length
+                out.append(piece[2])
+            at -= piece[0]
         out.reverse()
         return out
 
-    def _unknown(self, text: str, best: list[float], back: list[tuple[int, int]], end: int) -> None:
+    def _unknown(self, text: str, best: list[float], back: list, end: int) -> None:
         if text[end - 1] not in self.single:
             total = best[end - 1] + self.worst
             if total > best[end]:
-                best[end], back[end] = total, (1, -1)
+                best[end], back[end] = total, (1, self.worst, -1)
 
     def _spelled(self, char: str) -> list[int]:
         """An unknown character byte by byte, where the model has bytes."""
         raw = char.encode("utf-8", "surrogatepass")
         return [self.bytes_to_id[b] for b in raw] if len(self.bytes_to_id) == 256 else [self.unknown]
 
+    def _keep(self, word: str, ids: bytes) -> bytes:
+        """Remember a word met for the second time; most words of a text of any size are met once."""
+        slot = hash(word) % MET_SLOTS
+        if not self.met[slot]:
+            self.met[slot] = 1
+        elif len(self.cache) < CACHED_WORDS and len(word) <= CACHED_LENGTH:
+            self.cache[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        return self.cache.get(part) or self._keep(part, array("i", self.viterbi(part)).tobytes())
+
     def ids(self, word: str) -> bytes:
-        found = self.cache.get(word)
-        if found is None:
-            found = np.array(self.viterbi(word), "<i4").tobytes()
-            if len(word) <= CACHED_LENGTH and len(self.cache) < CACHED_WORDS:
-                self.cache[word] = found
-        return found
+        """Ids of a word that isn't cached."""
+        # Letters rarely part, so that looking for places to cut doesn't pay; a sign at the end usually does.
+        if word[1:].isalpha():
+            return self._keep(word, array("i", self.viterbi(word)).tobytes())
+        inner = self.inner
+        if word[1:-1].isalpha() and word[-2:] not in inner:
+            return self._keep(word, self._part(word[:-1]) + self._part(word[-1]))
+        cuts = [0, *[k for k in range(1, len(word)) if word[k - 1 : k + 1] not in inner], len(word)]
+        return self._keep(word, b"".join([self._part(word[a:b]) for a, b in zip(cuts, cuts[1:])]))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text: a space is put in front, spaces become visible; an empty text has no ids."""

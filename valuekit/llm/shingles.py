@@ -15,7 +15,7 @@ import numpy as np
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
 # Bytes of text hashed at once; a longer text is a batch of its own.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
