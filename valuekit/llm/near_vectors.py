@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from valuekit.llm.graph import components
 from valuekit.llm.vectors import common_length, stacked, unit, usable
-from valuekit.scale import settle
+from valuekit.scale import attach, settle
 
 TILE = 1024
 # Directions whose signs put vectors that lie together into the same tiles.
@@ -128,11 +128,11 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, tile: int = TILE)
     # As many signs as make cells of about a tile; a cell that is larger all the same is dealt out by a hash.
     many = classes.groupBy("label").agg(F.count("*").alias("n"))
     bits = F.least(F.lit(SIGNS), F.greatest(F.lit(0), F.floor(F.log2(F.col("n") / tile)))).cast("int")
-    celled = classes.join(F.broadcast(many.limit(TILE)) if many.limit(TILE + 1).count() <= TILE else many, "label")
+    celled = attach(classes, many, ["label"])
     celled = celled.withColumn("cell", F.col("signs").bitwiseAND((F.pow(F.lit(2), bits) - 1).cast("int")))
     cells = celled.groupBy("label", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
     slot = F.pmod(F.xxhash64("first"), F.col("parts"))
-    dealt = celled.join(cells, ["label", "cell"]).select(
+    dealt = attach(celled, cells, ["label", "cell"]).select(
         F.col("first").alias("vec_id"), "copies", "vec", "label", F.xxhash64("cell", slot).alias("tile")
     )
     schema = f"label {dealt.schema['label'].dataType.simpleString()}, tile long, ids binary, copies binary, vecs binary, centre array<double>, wide double"

@@ -35,7 +35,8 @@ from valuekit.scale import settle, settled_size
 SPARE = 10
 # Prefix shingles that a block of documents holds.
 BLOCK_SHINGLES = 1 << 20
-# Shingles of all documents that meet in one task.
+# Documents that meet in one task, and their shingles.
+TASK_DOCUMENTS = 2000
 TASK_SHINGLES = 1_000_000
 # Lists above this length are probed, not merged, as far as the threshold allows.
 SHORT_LIST = 16
@@ -308,7 +309,8 @@ def ngram_join(docs: DataFrame, words: int = 3, similarity: float = 0.9) -> Data
     sets = settle(chosen.mapInPandas(_sets(words), "doc_id long, shingles binary"))
     size = (F.octet_length("shingles") / 8).cast("long")
     placed = sets.join(routed, "doc_id")
-    slices = placed.groupBy("block").agg(F.ceil(F.sum(size) * 2 / TASK_SHINGLES).cast("int").alias("slices"))
+    tasks = F.greatest(F.sum(size) / TASK_SHINGLES, F.count("*") / TASK_DOCUMENTS)
+    slices = placed.groupBy("block").agg(F.ceil(tasks * 2).cast("int").alias("slices"))
     cut = placed.join(slices, "block").withColumn("mine", F.pmod(F.xxhash64("doc_id"), "slices").cast("int"))
     other = F.explode(F.when(F.col("slices") <= 2, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("slices") - 1)))
     met = cut.withColumn("other", other).filter("mine != other").select(
