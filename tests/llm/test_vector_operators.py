@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tests.llm import plain
 
@@ -86,6 +87,22 @@ def test_nearest_in_blocks_with_unequal_norms(spark, monkeypatch):
     assert all(abs(r.score - float(by_id[r.query_id].astype(float) @ by_id[r.vec_id].astype(float))) < 1e-12 for r in got)
 
 
+UNEQUAL = {"unit": lambda n: np.ones(n), "one of 10": lambda n: np.where(np.arange(n) == 77, 10.0, 1.0), "0.1% of 2": lambda n: np.where(np.arange(n) % 1000 == 0, 2.0, 1.0), "log-normal": lambda n: np.exp(0.3 * np.random.default_rng(4).standard_normal(n))}
+
+
+@pytest.mark.parametrize("norms", UNEQUAL)
+def test_nearest_recall_in_a_full_block_of_unequal_norms(spark, norms):
+    x = np.random.default_rng(3).standard_normal((8192, 64))
+    x = np.float32(x / np.linalg.norm(x, axis=1)[:, None] * UNEQUAL[norms](len(x))[:, None])
+    found = {}
+    for r in nearest(table(spark, [(i, v, 1) for i, v in enumerate(x.tolist())]), F.col("vec_id") % 80 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x.astype(float)[::80] @ x.astype(float).T
+    scores[np.arange(len(scores)), np.arange(0, len(x), 80)] = -np.inf
+    hits = [len(found[80 * i] & set(np.argsort(-row)[:20].tolist())) for i, row in enumerate(scores)]
+    assert np.mean(hits) / 20 >= 0.9
+
+
 def test_nearest_odd_rows(spark):
     got = [(r.query_id, r.rank, r.vec_id) for r in nearest(table(spark, ODD), F.col("vec_id").isin(8, 3, 12), k=3).orderBy("query_id", "rank").collect()]
     assert got == [(8, 1, 11), (8, 2, 9), (8, 3, 10), (12, 1, 11), (12, 2, 8), (12, 3, 9)]

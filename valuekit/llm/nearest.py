@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -15,72 +16,110 @@ from valuekit.scale import settle, settled_size
 
 BLOCK = 8192
 QUERIES = 1024
-PILOTS = 16
+PILOTS = 24
+# Vectors whose norms differ by no more than this factor are sorted and searched together.
+RATIO = 1.1
+# Allowances for the error of a collision count, which grows with the norm; the one that needs the fewest vectors is taken.
+BONUSES = (0.0, 0.1, 0.2, 0.4, 0.8)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``projections`` sorted arrays; a vector in the windows of ``collisions`` of them is verified; windows grow by
-    ``growth`` until a share ``verified`` of a block's vectors, ``least`` of them at any rate, and ``k`` more are."""
+    """``projections`` sorted arrays; a vector in the windows of ``collisions`` of them is verified. Windows grow until as many vectors
+    are verified as held a share ``recall`` of the true neighbours of a sample of the queries."""
 
     projections: int = 96
     collisions: float = 0.6
-    growth: float = 1.08
-    verified: float = 0.14
-    least: int = 1000
+    recall: float = 0.95
     seed: int = 11
 
 
 class Projections:
-    """Index of one block. Inner products become distances by one more component, up to the block's largest norm."""
+    """Index of one block, in slices of similar norm. In a slice, inner products become distances by one more component, up to its largest norm.
+
+    A level is an inner product with the query's direction. It stands for a distance in each slice and so for a width of its windows: a vector
+    of that inner product is expected in a share ``collisions`` of them. Long vectors thus meet wide windows and leave those of the others alone.
+    """
 
     def __init__(self, x: np.ndarray, settings: Settings):
         self.x, self.settings = x, settings
-        norms = np.einsum("ij,ij->i", x, x)
-        self.top = float(np.sqrt(norms.max()))
-        lifted = np.column_stack((x, np.sqrt(np.maximum(self.top**2 - norms, 0))))
-        axes = np.random.default_rng(settings.seed).standard_normal((settings.projections, lifted.shape[1]))
-        self.axes = axes
-        values = axes @ lifted.T
-        order = np.argsort(values, axis=1)
-        ranked = np.take_along_axis(values, order, axis=1)
+        self.must = int(np.ceil(settings.collisions * settings.projections))
+        self.spread = NormalDist().inv_cdf((1 + settings.collisions) / 2)
+        norms = np.sqrt(np.einsum("ij,ij->i", x, x))
+        part = np.unique(np.ceil(np.log(norms / norms.max()) / np.log(RATIO)), return_inverse=True)[1]
+        self.tops = np.zeros(part.max() + 1)
+        np.maximum.at(self.tops, part, norms)
+        self.top = self.tops[part]
+        lifted = np.column_stack((x / self.top[:, None], np.sqrt(np.maximum(1 - (norms / self.top) ** 2, 0))))
+        self.axes = np.random.default_rng(settings.seed).standard_normal((settings.projections, lifted.shape[1]))
+        self.values = lifted @ self.axes.T
         # All sorted arrays in one, each moved behind the last, so that one search finds the ends of all windows.
-        reach = float(np.abs(values).max()) + self.top * float(np.sqrt((axes**2).sum(1)).max()) + 1.0
-        self.shift = 4 * reach * np.arange(len(axes))
+        reach = float(np.abs(self.values).max()) + float(np.sqrt((self.axes**2).sum(1)).max()) + 1.0
         self.limit = 1.5 * reach
-        self.flat = (ranked + self.shift[:, None]).ravel()
+        self.shift = 4 * reach * np.arange(len(self.axes) * len(self.tops)).reshape(len(self.axes), -1)
+        moved = self.values.T + self.shift[:, part]
+        order = np.argsort(moved, axis=1)
+        self.flat = np.take_along_axis(moved, order, axis=1).ravel()
         self.flat_order = order.ravel()
-        # First width: a little less than the block's own vectors need as queries.
-        self.step = 0.05 * float(values.std()) or 1.0
-        some = np.random.default_rng(settings.seed).choice(len(x), min(PILOTS, len(x)), replace=False)
-        self.step = 0.9 * min(self._reach(x[i], 1)[1] for i in some)
-
-    def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
-        """Vectors that collide with the query often enough, from the narrowest windows that give enough of them."""
-        return self._reach(query, k)[0]
-
-    def _reach(self, query: np.ndarray, k: int) -> tuple[np.ndarray, float]:
-        s, n = self.settings, len(self.x)
-        size = np.sqrt(query @ query)
-        centre = self.axes[:, :-1] @ (query * (self.top / size)) + self.shift
+
+    def _centre(self, query: np.ndarray) -> np.ndarray:
+        return self.axes[:, :-1] @ (query / np.sqrt(query @ query))
+
+    def calibrate(self, queries: np.ndarray, owns: np.ndarray, k: int) -> None:
+        """Measure on some queries how many vectors to verify and at which levels to look."""
+        taken = []
+        for query, own in zip(queries, owns):
+            others = np.flatnonzero(~own)
+            if len(others):
+                away = np.abs(self.values[others] - self._centre(query))
+                enters = np.partition(away, self.must - 1, axis=1)[:, self.must - 1]
+                true = np.argsort(-(self.x[others] @ query), kind="stable")[:k]
+                taken.append((self.top[others], (enters / self.spread) ** 2 / 2, true))
+        if not taken:
+            taken = [(self.top, np.zeros(len(self.x)), np.arange(len(self.x)))]
+        self.enough, self.bonus, reached = min((self._stop(bonus, taken) for bonus in BONUSES), key=lambda stop: stop[0])
+        self.levels = np.quantile(reached, [1, 0.75, 0.5, 0.25, 0])
+        self.step = max((self.levels[0] - self.levels[-1]) / 4, 1e-3 * self.tops.max())
+
+    def _stop(self, bonus: float, taken: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[int, float, list[float]]:
+        """How many vectors come first when a share ``recall`` of the true neighbours has come, and each query's level then."""
+        falling, ranks = [], []
+        for top, enters, true in taken:
+            levels = -top * (1 + bonus - enters)
+            falling.append(np.sort(levels))
+            ranks.append(np.searchsorted(falling[-1], levels[true], side="right"))
+        enough = int(np.quantile(np.concatenate(ranks), self.settings.recall, method="higher"))
+        return enough, bonus, [-levels[min(enough, len(levels)) - 1] for levels in falling]
+
+    def candidates(self, query: np.ndarray, k: int, own: int) -> np.ndarray:
+        """Vectors that collide with the query often enough, from the highest level that gives enough of them."""
+        n = len(self.x)
+        enough = min(n, max(k, self.enough) + own)
+        centre = (self._centre(query)[:, None] + self.shift).ravel()
         low = high = np.searchsorted(self.flat, centre)
-        enough, must = min(n, k + max(s.least, int(s.verified * n))), int(np.ceil(s.collisions * s.projections))
-        counts, width = np.zeros(n, np.int64), self.step
+        counts, tries, level, step = np.zeros(n, np.int64), 0, self.levels[0], self.step
         while True:
-            reached = min(width, self.limit)
-            wide_low, wide_high = np.searchsorted(self.flat, centre - reached), np.searchsorted(self.flat, centre + reached, side="right")
-            ends = np.concatenate((wide_low, high)), np.concatenate((low, wide_high))
-            new = np.concatenate([self.flat_order[a:b] for a, b in zip(*(e.tolist() for e in ends))])
-            counts += np.bincount(new, minlength=n)
+            width = np.minimum(self.spread * np.sqrt(np.maximum(2 + 2 * self.bonus - 2 * level / self.tops, 0)), self.limit)
+            wide = np.broadcast_to(width, self.shift.shape).ravel()
+            wide_low, wide_high = np.searchsorted(self.flat, centre - wide), np.searchsorted(self.flat, centre + wide, side="right")
+            starts, ends = np.concatenate((wide_low, high)), np.concatenate((low, wide_high))
+            some = starts < ends
+            new = [self.flat_order[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())]
+            if new:
+                counts += np.bincount(np.concatenate(new), minlength=n)
             low, high = wide_low, wide_high
-            hits = np.flatnonzero(counts >= must)
-            if len(hits) >= enough or reached == self.limit:
-                return hits, width
-            width *= s.growth
+            hits = np.flatnonzero(counts >= self.must)
+            if len(hits) >= enough:
+                return hits
+            tries += 1
+            if tries < len(self.levels):
+                level = self.levels[tries]
+            else:
+                level, step = level - step, 2 * step
 
     def best(self, query: np.ndarray, own: np.ndarray, k: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` candidates of largest inner product, ties to the smaller id."""
-        hits = self.candidates(query, k + int(own.sum()))
+        hits = self.candidates(query, k, int(own.sum()))
         hits = hits[~own[hits]]
         scores = np.einsum("ij,j->i", self.x[hits], query)
         top = np.lexsort((ids[hits], -scores))[:k]
@@ -106,8 +145,10 @@ def _search(length: int, k: int, settings: Settings):
                     block, ids = row.block, np.frombuffer(row.ids, "<i8")
                     index = Projections(np.frombuffer(row.vecs, "<f8").reshape(-1, length), settings)
                 queries = np.frombuffer(row.query_vecs, "<f8").reshape(-1, length)
-                out = []
-                for query_id, query in zip(np.frombuffer(row.query_ids, "<i8"), queries):
+                query_ids, out = np.frombuffer(row.query_ids, "<i8"), []
+                some = np.random.default_rng(settings.seed).choice(len(queries), min(PILOTS, len(queries)), replace=False)
+                index.calibrate(queries[some], ids == query_ids[some, None], k)
+                for query_id, query in zip(query_ids, queries):
                     hits, scores = index.best(query, ids == query_id, k, ids)
                     out.append((np.full(len(hits), query_id), ids[hits], scores))
                 yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)))))
@@ -120,8 +161,9 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, settings: Settings =
 
     ``table`` holds ``(vec_id, embedding)``; rows for which ``queries`` holds are searched for among all rows but their own. Scores are inner
     products of the original vectors in double precision; ties go to the smaller ``vec_id``. All vectors are indexed, in blocks; each batch of queries meets each
-    block. In a block every vector is projected on single axes, sorted along each. A query's windows on all axes widen together (virtual rehashing), and
-    vectors in enough windows at once are verified. The result is approximate; tests measure its recall.
+    block. In a block every vector is projected on single axes and sorted along each, apart from vectors of other norms. A query's windows on all axes
+    widen together (virtual rehashing), and vectors in enough windows at once are verified. How many that takes is measured per block and batch, on a
+    sample of its queries. The result is approximate; tests measure its recall.
 
     Vectors that are null, zero, hold null or non-finite components or are of another length than most take no part, and neither do rows
     without ``vec_id``. Rows that repeat a ``vec_id`` are candidates each, but not for that id's query, which is the smallest of their vectors. Other
