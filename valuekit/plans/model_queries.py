@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from valuekit.ml import prep, train
-from valuekit.ml.models import LOG_LABEL, PREDICTED, Ridge, log_pipeline
+from valuekit.ml.models import LOG_LABEL, PREDICTED, Ridge, boosted, forest, log_pipeline
 from valuekit.operators import analysis
 from valuekit.plans.registry import long, query, r4, sql_r4
 from valuekit.plans.value_queries import METRICS
@@ -115,12 +114,14 @@ def fit_and_judge(t, regressor):
 
 @query("forest_fit_score")
 def forest_fit_score(t):
-    return fit_and_judge(t, RandomForestRegressor(labelCol=LOG_LABEL, numTrees=10, maxDepth=6, seed=42))
+    regressor, settings = forest()
+    return fit_and_judge(t, regressor.copy(settings[0]))
 
 
 @query("gbt_fit_score")
 def gbt_fit_score(t):
-    return fit_and_judge(t, GBTRegressor(labelCol=LOG_LABEL, maxIter=5, maxDepth=4, seed=42))
+    regressor, settings = boosted()
+    return fit_and_judge(t, regressor.copy(settings[0]))
 
 
 def judged(metrics):
@@ -138,12 +139,14 @@ def grid_search(t):
 
 @query("random_search")
 def random_search(t):
-    return run(t, "Linear Regression", search="random")
+    """Ten of 25 penalties, the usual ones among them."""
+    return run(t, "Linear Regression", search="random", grid={"alpha": [10 ** (k / 4 - 4) for k in range(25)]})
 
 
 @query("halving_search")
 def halving_search(t):
-    return run(t, "Random Forest", grid={"numTrees": [3, 6], "maxDepth": [3, 5]})
+    """All usual settings of forests and of boosted trees."""
+    return run(t, "Random Forest").unionByName(run(t, "XGBoost"))
 
 
 @query("score_table", "SELECT l_partkey, l_linestatus, count(*) AS n_rows, 0::BIGINT AS not_scored, count(*) FILTER (l_orderkey % 10 = 0) AS without_target FROM lineitem GROUP BY 1, 2")
