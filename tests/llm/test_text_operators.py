@@ -289,6 +289,14 @@ def test_personal_scores_and_columns(spark):
     assert "[0-9]" in PHONE and find_pii(odd(spark, [])).count() == 0
 
 
+def test_account_numbers_end_before_other_capitals(spark):
+    number = "DE89 3704 0044 0532 0130 00"
+    rows = [(1, f"IBAN {number} BIC COBADEFFXXX"), (2, f"{number}"), (3, f"{number.replace(' ', '')}ABC"), (4, "DE89 3704 0044 0532 0130 01 BIC"), (5, "GB82 WEST 1234 5698 7654 32 X1")]
+    rows += [(6, f"IBAN {number} and GB82WEST12345698765432 OK")]
+    got = {r.doc_id: [(r.text[s.start : s.end]) for s in r.pii if s.kind == "iban"] for r in find_pii(odd(spark, rows)).collect()}
+    assert got == {1: [number], 2: [number], 3: [number.replace(" ", "")], 4: [], 5: ["GB82 WEST 1234 5698 7654 32"], 6: [number, "GB82WEST12345698765432"]}
+
+
 # --- quality
 
 

@@ -18,6 +18,13 @@ CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
 
+# Characters of an account number by country.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
 # Characters before a span in which context words are looked for.
 CONTEXT = 48
 
@@ -55,19 +62,41 @@ def _dialled(text: Column) -> Column:
 
 
 def _mod97(text: Column) -> Column:
-    """Account numbers: with the first four characters last and letters as 10 to 35, the rest by 97 is 1."""
+    """Length of the account number a text starts with: with its first four characters last and letters as 10 to 35, the rest by 97 is 1.
+    Of the lengths that pass, blanks aside, its country's is taken, else the longest of 15 to 34. Null if there is none."""
+
+    def value(char: Column) -> Column:
+        return F.when(char >= "A", F.ascii(char) - 55).otherwise(F.ascii(char) - 48)
+
+    def add(rest: Column, char: Column) -> Column:
+        return (rest * F.when(char >= "A", 100).otherwise(10) + value(char)) % 97
+
+    def longest(compact: Column) -> Column:
+        chars = F.filter(F.split(compact, ""), lambda char: char != "")
+        head, country = F.slice(chars, 1, 4), F.substr(compact, F.lit(1), F.lit(2))
+        due = F.coalesce(*[F.when(country.isin(codes.split()), n) for n, codes in LENGTHS.items()], F.lit(0))
+
+        def step(seen: Column, i: Column) -> Column:
+            rest = add(seen["rest"], F.get(chars, i))
+            fits = (i >= 14) & (F.aggregate(head, rest, add) == 1)
+            return F.struct(rest.alias("rest"), F.when(fits & (seen["long"] != due), i + 1).otherwise(seen["long"]).alias("long"))
 
-    def valid(compact: Column) -> Column:
-        turned = F.concat(F.substr(compact, F.lit(5)), F.substr(compact, F.lit(1), F.lit(4)))
+        start = F.struct(F.lit(0).alias("rest"), F.lit(-1).alias("long"))
+        return F.aggregate(F.sequence(F.lit(4), F.least(F.size(chars), F.lit(34)) - 1), start, step)["long"]
 
-        def add(rest: Column, char: Column) -> Column:
-            letter = char >= "A"
-            value = F.when(letter, F.ascii(char) - 55).otherwise(F.ascii(char) - 48)
-            return (rest * F.when(letter, 100).otherwise(10) + value) % 97
+    def cut(long: Column) -> Column:
+        # So many characters with the blanks between them.
+        def step(seen: Column, char: Column) -> Column:
+            more = seen["left"] > 0
+            return F.struct(
+                F.when(more & (char != " "), seen["left"] - 1).otherwise(seen["left"]).alias("left"), (seen["size"] + more.cast("int")).alias("size")
+            )
 
-        return F.aggregate(F.split(turned, ""), F.lit(0), lambda rest, char: F.when(char == "", rest).otherwise(add(rest, char))) == 1
+        start = F.struct(long.alias("left"), F.lit(0).alias("size"))
+        size = F.aggregate(F.filter(F.split(text, ""), lambda char: char != ""), start, step)["size"]
+        return F.when(long > 0, size)
 
-    return let(F.regexp_replace(text, " ", ""), valid)
+    return let(longest(F.regexp_replace(text, " ", "")), cut)
 
 
 # Kind, pattern, cheap test that a text may hold one, validator, score of a valid span, words that raise it.
@@ -93,7 +122,11 @@ def _spans(text: Column, order: int, kind: Kind) -> Column:
             here = F.get(found, i)
             end = start + F.char_length(here)
             fits = F.lit(True) if valid is None else valid(here)
-            spans = F.when(fits, F.concat(seen["spans"], F.array(F.struct(start.alias("start"), end.alias("end"))))).otherwise(seen["spans"])
+            upto = end
+            if valid is _mod97:
+                upto = start + fits
+                fits = fits.isNotNull()
+            spans = F.when(fits, F.concat(seen["spans"], F.array(F.struct(start.alias("start"), upto.alias("end"))))).otherwise(seen["spans"])
             return F.struct(end.alias("at"), spans.alias("spans"))
 
         none = F.array().cast("array<struct<start:int,end:int>>")
@@ -121,7 +154,8 @@ def find_pii(docs: DataFrame, text: str = "text", name: str = "pii") -> DataFram
 
     Kinds in order of rank: mail addresses, IPv4 addresses with parts up to 255, card numbers that pass Luhn's test, international
     phone numbers of 9 to 15 digits, and account numbers that pass mod 97. Matches of a kind are leftmost and don't overlap; one that a
-    validator refuses is dropped and not tried again further right. Starts and ends count code points, ends are exclusive. Context words
+    validator refuses is dropped and not tried again further right. Of an account number with more capitals or digits behind it, the part of its country's
+    length is taken if it passes, else the longest from the start that does; what follows in the same run is not searched again. Starts and ends count code points, ends are exclusive. Context words
     shortly before a span raise its score by 0.2; no span is dropped for its score.
 
     A null or empty text has an empty array. A column called like ``name`` is replaced; all others pass unread.
