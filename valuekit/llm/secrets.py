@@ -1,4 +1,4 @@
-"""Find secrets: one automaton of all rules reads every byte once, each rule's own automaton places its spans."""
+"""Find secrets: one automaton of all rules' signs reads every byte once, the automata of the rules it reports place the spans."""
 
 from __future__ import annotations
 
