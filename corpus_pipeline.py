@@ -5,7 +5,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a table that is written a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from valuekit.llm.line_dedup import dedup_lines
@@ -13,7 +13,7 @@ from valuekit.llm.mixing import mix_sources
 from valuekit.llm.ngram_join import BROADCAST_IDS, ngram_join
 from valuekit.llm.pieces import decode_pieces, encode_pieces
 from valuekit.llm.quality import classify_quality
-from valuekit.scale import settle, settled_size
+from valuekit.scale import positions, settle, settled_size
 from valuekit.session import ship
 
 
@@ -29,12 +29,28 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return deduped.filter((F.col("n_removed") == 0) | (F.trim("text") != "")).select(*docs.columns)
 
 
+def _key_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` numbered in ``__key``, one row for each ``doc_id`` and text; in order of ``doc_id``, nulls last."""
+    same = ["doc_id", "__a", "__b"]
+    printed = docs.withColumn("__a", F.xxhash64("text")).withColumn("__b", F.xxhash64(F.lit("second"), "text"))
+    first = Window.partitionBy(*same).orderBy(F.xxhash64(*docs.columns))
+    single = printed.withColumn("__nth", F.row_number().over(first)).filter("__nth = 1").drop("__nth")
+    return settle(positions(settle(single), [], [F.col("doc_id").asc_nulls_last(), F.col("__a"), F.col("__b")], "__key"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words, similarity 0.8; the one with the smallest id stays."""
-    groups = ngram_join(docs, words=5, similarity=0.8)
-    dropped = settle(groups.filter("doc_id != component_id").select("doc_id").distinct())
+    """One document of each group of near duplicates: five words, similarity 0.8; the one with the smallest id stays.
+
+    Rows of one ``doc_id`` and text become one first. Different texts under one ``doc_id``, and texts without one, are documents of their own: each
+    stays or goes by its own links. Of a group, documents without ``doc_id`` stay only if none has one; equal ids are told apart by a hash of their texts.
+    """
+    odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("doc_id IS NULL OR n > 1")
+    plain = odd.isEmpty()
+    keyed = docs.withColumn("__key", F.col("doc_id")) if plain else _key_rows(docs)
+    groups = ngram_join(keyed.select(F.col("__key").alias("doc_id"), "text"), words=5, similarity=0.8)
+    dropped = settle(groups.filter("doc_id != component_id").select(F.col("doc_id").alias("__key")).distinct())
     small = settled_size(dropped)[0] <= BROADCAST_IDS
-    return docs.join(F.broadcast(dropped) if small else dropped, "doc_id", "left_anti").select(*docs.columns)
+    return keyed.join(F.broadcast(dropped) if small else dropped, "__key", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +71,7 @@ STAGES = [
     ("mixing to target weights", mix), ("sentencepiece", to_pieces),
 ]
 
-# Boosted trees, the join's components and the pieces can't be said in SQL; tests compare with brute force.
+# Boosted trees, the join's components and the pieces can't be said in SQL; tests/test_pipeline.py compares with a plain version.
 ORACLE_SQL = None
 
 
