@@ -110,3 +110,15 @@ def test_nearest_odd_rows(spark):
     assert nearest(table(spark, ODD), F.lit(False)).count() == 0
     twins = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 1.0], 1), (None, [1.0, 1.0], 1)]
     assert [(r.query_id, r.vec_id) for r in nearest(table(spark, twins), F.lit(True), k=5).orderBy("query_id", "rank").collect()] == [(1, 2), (2, 1), (2, 1)]
+
+
+def test_every_length_counts(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(3 if i % 3 else 5).tolist(), 1) for i in range(90)]
+    rows += [(100 + i, rows[i][1], 1) for i in range(10)]
+    links = {i: v for size in (3, 5) for i, v in plain.near_vectors([r for r in rows if len(r[1]) == size], 0.93).items()}
+    assert near(spark, rows, threshold=0.93, tile=8) == links
+    got = nearest(table(spark, rows), F.col("vec_id") < 12, k=1).collect()
+    assert {r.query_id: r.vec_id for r in got if r.query_id < 10}.keys() == set(range(10))
+    size = {i: len(v) for i, v, _ in rows}
+    assert len(got) == 12 and all(size[r.query_id] == size[r.vec_id] for r in got)

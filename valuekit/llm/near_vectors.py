@@ -20,11 +20,12 @@ SIGNS = 12
 SLACK = 1e-9
 
 
-def _tiles(length: int):
+def _tiles():
     """Pack one tile: ids, numbers of copies, vectors; its mean direction and the widest angle from it."""
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id")
+        length = frame["length"].iloc[0]
         x = stacked(frame["vec"], length)
         u = unit(x)
         mean = u.sum(0)
@@ -32,8 +33,8 @@ def _tiles(length: int):
         centre = mean / size if size > 0 else u[0]
         wide = float(np.arccos(np.clip(u @ centre, -1, 1)).max())
         blobs = frame["vec_id"].to_numpy("<i8").tobytes(), frame["copies"].to_numpy("<i8").tobytes(), x.astype("<f8").tobytes()
-        row = (frame["label"].iloc[0], frame["tile"].iloc[0], *blobs, centre.tolist(), wide)
-        return pd.DataFrame([row], columns=["label", "tile", "ids", "copies", "vecs", "centre", "wide"])
+        row = (frame["label"].iloc[0], length, frame["tile"].iloc[0], *blobs, centre.tolist(), wide)
+        return pd.DataFrame([row], columns=["label", "length", "tile", "ids", "copies", "vecs", "centre", "wide"])
 
     return pack
 
@@ -66,7 +67,7 @@ def _parts(i: np.ndarray, j: np.ndarray, size: int = 1 << 16) -> Iterator[tuple[
         yield i[k : k + size], j[k : k + size]
 
 
-def _compare(length: int, threshold: float):
+def _compare(threshold: float):
     """One row per vector of two tiles that has a link there: links to the other tile's vectors and their copies, and a hub."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,7 +76,7 @@ def _compare(length: int, threshold: float):
                 same = row.tile_a == row.tile_b
                 ids = np.concatenate([np.frombuffer(b, "<i8") for b in (row.ids_a, row.ids_b)])
                 copies = np.concatenate([np.frombuffer(b, "<i8") for b in (row.copies_a, row.copies_b)])
-                u, v = (unit(np.frombuffer(b, "<f8").reshape(-1, length)) for b in (row.vecs_a, row.vecs_b))
+                u, v = (unit(np.frombuffer(b, "<f8").reshape(-1, row.length)) for b in (row.vecs_a, row.vecs_b))
                 i, j = linked_pairs(u, v, threshold)
                 if same:
                     i, j = i[i < j], j[i < j]
@@ -104,59 +105,61 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, tile: int = TILE)
     enough. In a pair of tiles int8 codes give each cosine up to a bound made of the vectors' quantisation errors; a pair whose bound reaches the threshold is
     computed from the original numbers. A task puts out a row per vector, not per link.
 
-    Vectors that are null, zero, hold null or non-finite components or are of another length than most link with nothing, and neither do
+    Vectors of different lengths don't link. Vectors that are null, zero or hold null or non-finite components link with nothing, and neither do
     rows without label or ``vec_id``; these come back with 0 links and themselves as component. Rows that repeat a ``vec_id`` count as one vector each
     and get one component. Other columns don't matter; an empty table gives no rows.
     """
     length = common_length(table.filter(usable(F.col("embedding"))), "embedding")
     vec = F.col("embedding").cast("array<double>")
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), "label", vec.alias("vec"))
-    takes = usable(F.col("vec")) & (F.size("vec") == length) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    takes = usable(F.col("vec")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     prints = F.xxhash64("vec").alias("fp_a"), F.xxhash64(F.lit("second"), "vec").alias("fp_b")
-    part = rows.filter(takes).select("vec_id", "label", "vec", *prints)
-    classes = part.groupBy("label", "fp_a", "fp_b").agg(
+    part = rows.filter(takes).select("vec_id", "label", F.size("vec").alias("length"), "vec", *prints)
+    group = ["label", "length"]
+    classes = part.groupBy(*group, "fp_a", "fp_b").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("vec").alias("vec")
     )
     rng = np.random.default_rng(7)
     signs = [rng.standard_normal(length) for _ in range(SIGNS)]
 
     def side(k: int):
-        terms = F.zip_with("vec", F.array(*[F.lit(float(x)) for x in signs[k]]), lambda x, y: x * y)
+        axis = F.slice(F.array(*[F.lit(float(x)) for x in signs[k]]), F.lit(1), F.size("vec"))
+        terms = F.zip_with(F.slice("vec", 1, length), axis, lambda x, y: x * y)
         return F.when(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y) > 0, 1 << k).otherwise(0)
 
     classes = settle(classes.withColumn("signs", sum((side(k) for k in range(SIGNS)), F.lit(0)) if length else F.lit(0)))
     # As many signs as make cells of about a tile; a cell that is larger all the same is dealt out by a hash.
-    many = classes.groupBy("label").agg(F.count("*").alias("n"))
+    many = classes.groupBy(*group).agg(F.count("*").alias("n"))
     bits = F.least(F.lit(SIGNS), F.greatest(F.lit(0), F.floor(F.log2(F.col("n") / tile)))).cast("int")
-    celled = attach(classes, many, ["label"])
+    celled = attach(classes, many, group)
     celled = celled.withColumn("cell", F.col("signs").bitwiseAND((F.pow(F.lit(2), bits) - 1).cast("int")))
-    cells = celled.groupBy("label", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+    cells = celled.groupBy(*group, "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
     slot = F.pmod(F.xxhash64("first"), F.col("parts"))
-    dealt = attach(celled, cells, ["label", "cell"]).select(
-        F.col("first").alias("vec_id"), "copies", "vec", "label", F.xxhash64("cell", slot).alias("tile")
+    dealt = attach(celled, cells, [*group, "cell"]).select(
+        F.col("first").alias("vec_id"), "copies", "vec", *group, F.xxhash64("cell", slot).alias("tile")
     )
-    schema = f"label {dealt.schema['label'].dataType.simpleString()}, tile long, ids binary, copies binary, vecs binary, centre array<double>, wide double"
-    tiles = settle(dealt.groupBy("label", "tile").applyInPandas(_tiles(length), schema))
-    brief = tiles.select("label", "tile", "centre", "wide")
-    other = brief.select("label", *[F.col(c).alias(f"{c}_b") for c in ("tile", "centre", "wide")])
-    pairs = brief.withColumnsRenamed({c: f"{c}_a" for c in ("tile", "centre", "wide")}).join(other, "label").filter("tile_a <= tile_b")
+    schema = f"label {dealt.schema['label'].dataType.simpleString()}, length int, tile long, ids binary, copies binary, vecs binary, centre array<double>, wide double"
+    tiles = settle(dealt.groupBy(*group, "tile").applyInPandas(_tiles(), schema))
+    brief = tiles.select(*group, "tile", "centre", "wide")
+    other = brief.select(*group, *[F.col(c).alias(f"{c}_b") for c in ("tile", "centre", "wide")])
+    pairs = brief.withColumnsRenamed({c: f"{c}_a" for c in ("tile", "centre", "wide")}).join(other, group).filter("tile_a <= tile_b")
     dot = F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
     apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot))) - F.col("wide_a") - F.col("wide_b")
-    near = pairs.filter((F.col("tile_a") == F.col("tile_b")) | (apart <= float(np.arccos(threshold)) + 1e-6)).select("label", "tile_a", "tile_b")
-    packed = tiles.select("label", "tile", "ids", "copies", "vecs")
+    near = pairs.filter((F.col("tile_a") == F.col("tile_b")) | (apart <= float(np.arccos(threshold)) + 1e-6)).select(*group, "tile_a", "tile_b")
+    packed = tiles.select(*group, "tile", "ids", "copies", "vecs")
     for end in "ab":
-        near = near.join(packed.withColumnsRenamed({c: f"{c}_{end}" for c in ("tile", "ids", "copies", "vecs")}), ["label", f"tile_{end}"])
+        near = near.join(packed.withColumnsRenamed({c: f"{c}_{end}" for c in ("tile", "ids", "copies", "vecs")}), [*group, f"tile_{end}"])
     # Few, heavy rows: deal them out evenly, a few to a batch.
-    spread = near.repartition(F.xxhash64("label", "tile_a", "tile_b"))
-    found = settle(spread.mapInPandas(_compare(length, threshold), "vec_id long, links long, hub long"))
+    spread = near.repartition(F.xxhash64(*group, "tile_a", "tile_b"))
+    found = settle(spread.mapInPandas(_compare(threshold), "vec_id long, links long, hub long"))
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("hub").alias("b")))
-    by_class = classes.select("label", "fp_a", "fp_b", "first", "copies")
+    by_class = classes.select(*group, "fp_a", "fp_b", "first", "copies")
     by_class = by_class.join(links, by_class["first"] == links["vec_id"], "left").drop("vec_id")
     by_class = by_class.join(joined, by_class["first"] == joined["id"], "left").select(
-        "label", "fp_a", "fp_b",
+        *group, "fp_a", "fp_b",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "first").alias("component_id"),
     )
-    inside = part.select("vec_id", "label", "fp_a", "fp_b").join(by_class, ["label", "fp_a", "fp_b"]).select("vec_id", "n_links", "component_id")
+    inside = part.select("vec_id", *group, "fp_a", "fp_b").join(by_class, [*group, "fp_a", "fp_b"]).select("vec_id", "n_links", "component_id")
     outside = rows.filter(~F.coalesce(takes, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return inside.unionByName(outside).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

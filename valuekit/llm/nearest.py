@@ -11,8 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuekit.llm.vectors import common_length, stacked, usable
-from valuekit.scale import settle, settled_size
+from valuekit.llm.vectors import stacked, usable
+from valuekit.scale import BROADCAST_ROWS, attach, settle, settled_size
 
 BLOCK = 8192
 QUERIES = 1024
@@ -126,25 +126,26 @@ class Projections:
         return hits[top], scores[top]
 
 
-def _pack(key: str, length: int):
+def _pack(key: str):
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        row = frame[key].iloc[0], frame["vec_id"].to_numpy("<i8").tobytes(), stacked(frame["vec"], length).astype("<f8").tobytes()
-        return pd.DataFrame([row], columns=[key, "ids", "vecs"])
+        length = frame["length"].iloc[0]
+        row = length, frame[key].iloc[0], frame["vec_id"].to_numpy("<i8").tobytes(), stacked(frame["vec"], length).astype("<f8").tobytes()
+        return pd.DataFrame([row], columns=["length", key, "ids", "vecs"])
 
     return pack
 
 
-def _search(length: int, k: int, settings: Settings):
-    """Rows arrive sorted by block, so a block's index is built once for all its batches of queries."""
+def _search(k: int, settings: Settings):
+    """Rows arrive sorted by length and block, so a block's index is built once for all its batches of queries."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, index, ids = None, None, None
         for frame in frames:
             for row in frame.itertuples(index=False):
-                if row.block != block:
-                    block, ids = row.block, np.frombuffer(row.ids, "<i8")
-                    index = Projections(np.frombuffer(row.vecs, "<f8").reshape(-1, length), settings)
-                queries = np.frombuffer(row.query_vecs, "<f8").reshape(-1, length)
+                if (row.length, row.block) != block:
+                    block, ids = (row.length, row.block), np.frombuffer(row.ids, "<i8")
+                    index = Projections(np.frombuffer(row.vecs, "<f8").reshape(-1, row.length), settings)
+                queries = np.frombuffer(row.query_vecs, "<f8").reshape(-1, row.length)
                 query_ids, out = np.frombuffer(row.query_ids, "<i8"), []
                 some = np.random.default_rng(settings.seed).choice(len(queries), min(PILOTS, len(queries)), replace=False)
                 index.calibrate(queries[some], ids == query_ids[some, None], k)
@@ -165,24 +166,27 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, settings: Settings =
     widen together (virtual rehashing), and vectors in enough windows at once are verified. How many that takes is measured per block and batch, on a
     sample of its queries. The result is approximate; tests measure its recall.
 
-    Vectors that are null, zero, hold null or non-finite components or are of another length than most take no part, and neither do rows
-    without ``vec_id``. Rows that repeat a ``vec_id`` are candidates each, but not for that id's query, which is the smallest of their vectors. Other
+    Vectors of different lengths are never neighbours; each length has blocks of its own. Vectors that are null, zero or hold null or non-finite
+    components take no part, and neither do rows without ``vec_id``. Rows that repeat a ``vec_id`` are candidates each, but not for that id's query, which is the smallest of their vectors. Other
     columns don't matter; without vectors or queries there are no rows.
     """
     rows = table.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    length = common_length(rows, "embedding")
-    vec = F.col("embedding").cast("array<double>").alias("vec")
-    rows = settle(rows.filter(F.size("embedding") == length).select(F.col("vec_id").cast("long").alias("vec_id"), vec, F.coalesce(queries, F.lit(False)).alias("asks")))
-    n = settled_size(rows)[0]
-    blocks, asking = -(-n // BLOCK) or 1, rows.filter("asks")
-    batches = -(-asking.count() // QUERIES) or 1
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    held = settle(dealt.groupBy("block").applyInPandas(_pack("block", length), "block int, ids binary, vecs binary"))
-    batch = F.pmod(F.xxhash64(F.lit("query"), "vec_id"), F.lit(batches)).cast("int")
-    asked = asking.groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn("batch", batch).groupBy("batch").applyInPandas(_pack("batch", length), "batch int, ids binary, vecs binary")
-    asked = settle(asked).select(F.col("ids").alias("query_ids"), F.col("vecs").alias("query_vecs"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    vec, length = F.col("embedding").cast("array<double>").alias("vec"), F.size("embedding").alias("length")
+    rows = settle(rows.select(F.col("vec_id").cast("long").alias("vec_id"), vec, length, F.coalesce(queries, F.lit(False)).alias("asks")))
+    sizes = settle(rows.groupBy("length").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.greatest(F.ceil(F.count_if("asks") / QUERIES), F.lit(1)).alias("batches")))
+    total = sizes.agg(F.sum("blocks").alias("n")).first()["n"] or 1
+    known = attach(rows, sizes, ["length"])
+    dealt = known.withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
+    held = settle(dealt.groupBy("length", "block").applyInPandas(_pack("block"), "length int, block int, ids binary, vecs binary"))
+    batch = F.pmod(F.xxhash64(F.lit("query"), "vec_id"), "batches").cast("int")
+    asking = rows.filter("asks").groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn("length", F.size("vec"))
+    asked = attach(asking, sizes, ["length"]).withColumn("batch", batch).groupBy("length", "batch").applyInPandas(_pack("batch"), "length int, batch int, ids binary, vecs binary")
+    asked = settle(asked).join(F.broadcast(sizes), "length") if settled_size(sizes)[0] <= BROADCAST_ROWS else settle(asked).join(sizes, "length")
+    last = (F.col("blocks") - 1).cast("int")
+    asked = asked.select("length", F.col("ids").alias("query_ids"), F.col("vecs").alias("query_vecs"), F.explode(F.sequence(F.lit(0), last)).alias("block"))
     # Few, heavy rows: as many tasks as blocks, which no size of the data makes fewer.
-    met = asked.repartition(blocks, "block").join(held.repartition(blocks, "block"), "block").sortWithinPartitions("block")
-    found = met.mapInPandas(_search(length, k, settings), "query_id long, vec_id long, score double")
+    keys = ["length", "block"]
+    met = asked.repartition(total, *keys).join(held.repartition(total, *keys), keys).sortWithinPartitions(*keys)
+    found = met.mapInPandas(_search(k, settings), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
