@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuekit.llm.conversations import FLAWS, plan_repair, repaired_digests
 from valuekit.llm.line_dedup import dedup_lines
 from valuekit.llm.mixing import mix_sources
 from valuekit.llm.near_vectors import near_duplicates
@@ -19,6 +20,7 @@ from valuekit.llm.quality import classify_quality
 from valuekit.llm.secrets import BASE as SECRET_BASE
 from valuekit.llm.secrets import find_secrets
 from valuekit.llm.token_files import read_tokens, write_tokens
+from valuekit.scale import null_safe_join, settle
 from valuekit.session import fresh_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,3 +253,29 @@ def op9(docs: DataFrame) -> DataFrame:
 def op10(docs: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return classify_quality(docs, labels, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with faults planted by a checksum of ``conv_id:turn``; nulls read as one space."""
+    spaced = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat_ws(":", spaced("conv_id"), spaced("turn"))) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(spaced("text"), "[.!?]", "")).otherwise(spaced("text"))
+    copies = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(spaced("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    ).drop("copy")
+
+
+@query("op13_conversation_repair", "conversations")
+def op13(rows: DataFrame) -> DataFrame:
+    faulty = damaged(rows)
+    summary, letters = plan_repair(faulty)
+    # Few and small: one row per conversation.
+    told = null_safe_join(summary, settle(repaired_digests(faulty, letters)), ["conv_id"], "inner")
+    every = null_safe_join(rows.select("conv_id").distinct(), told, ["conv_id"], "left")
+    counts = ["gaps", *FLAWS, "illegal", "cost"]
+    return every.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
