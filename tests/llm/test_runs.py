@@ -1,0 +1,152 @@
+"""Periodic runs against a plain search over every period."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from valuekit.llm import queries, runs
+from valuekit.llm.runs import lyndon_lengths, periodic_runs, runs_in
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def plain_runs(words, least):
+    """(start, length, period): stretches of each period, if no smaller period fits."""
+    out, size = [], len(words)
+    row = np.unique(np.array(words, object), return_inverse=True)[1] if words else np.zeros(0, int)
+    for period in range(1, size // 2 + 1):
+        same = np.concatenate(([False], row[:-period] == row[period:], [False]))
+        turns = np.flatnonzero(np.diff(same.astype(int)))
+        for start, stop in zip(turns[::2].tolist(), turns[1::2].tolist()):
+            length = stop - start + period
+            stretch = row[start : start + length]
+            if length >= max(least, 2 * period) and not any((stretch[:-q] == stretch[q:]).all() for q in range(1, period)):
+                out.append((start, length, period))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def plain_collapsed(words, found):
+    gone = {i for start, length, period in found for i in range(start + period, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def plain_lyndon(symbols):
+    size = len(symbols)
+    return [next((j for j in range(i + 1, size) if symbols[j:] < symbols[i:]), size) - i for i in range(size)]
+
+
+@given(st.lists(st.integers(0, 3), max_size=40))
+@settings(max_examples=500, deadline=None)
+def test_grouping_gives_the_lyndon_arrays(symbols):
+    assert lyndon_lengths(symbols) == plain_lyndon(symbols)
+    other = [-s for s in symbols]
+    assert lyndon_lengths(other) == plain_lyndon(other)
+
+
+def test_grouping_of_regular_rows():
+    rows = [[0] * 50, list(range(50)), list(range(50, 0, -1)), [0, 1] * 25, ([0] * 5 + [1]) * 8, [1, 0, 1, 1, 0] * 9]
+    word, other = [0], [1]
+    for _ in range(6):
+        word, other = word + other, other + word
+    rows.append(word)
+    fib = [[0], [0, 1]]
+    while len(fib[-1]) < 80:
+        fib.append(fib[-1] + fib[-2])
+    for row in [*rows, fib[-1]]:
+        assert lyndon_lengths(row) == plain_lyndon(row)
+
+
+def found(words, least):
+    ids = np.unique(np.array(words, object), return_inverse=True)[1] if words else np.zeros(0, np.int64)
+    return [tuple(r) for r in runs_in(ids.astype(np.int64), np.zeros(len(words), np.int64), least).tolist()]
+
+
+@given(st.lists(st.integers(0, 2), max_size=60), st.sampled_from([2, 4, 12]))
+@settings(max_examples=400, deadline=None)
+def test_all_runs_are_found(symbols, least):
+    assert found([str(s) for s in symbols], least) == plain_runs([str(s) for s in symbols], least)
+
+
+def test_runs_of_fibonacci_and_thue_morse_words():
+    """Many runs, and words whose rolling sums are known to collide."""
+    a, b = "a", "ab"
+    while len(b) < 2000:
+        a, b = b, b + a
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    for text in (b[:1500], word, "a" * 3000, ("ab" * 30 + "c") * 20):
+        assert found(list(text), 12) == plain_runs(list(text), 12)
+
+
+def test_sums_that_collide_are_corrected(monkeypatch):
+    monkeypatch.setattr(runs.Extensions, "agree", lambda self, a, b, size: np.ones(len(a), bool))
+    words = "x y z a b c a b c a b c a b c a b q r s t u u u u u u u u u u u u u v".split()
+    assert found(words, 12) == plain_runs(words, 12)
+
+
+def test_runs_end_where_documents_end():
+    ids = np.zeros(40, np.int64)
+    part = np.repeat([0, 1, 2], [15, 5, 20])
+    assert runs_in(ids, part, 12).tolist() == [[0, 15, 1], [20, 20, 1]]
+
+
+def test_query_matches_plain_version(spark):
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in queries.QUERIES["op11_periodic_runs"](spark, FOLDER).collect()}
+    assert set(got) == set(rows)
+    planted = 0
+    for doc_id, text in rows.items():
+        words = plain_words(text)
+        h = zlib.crc32(str(doc_id).encode())
+        g, n = h // 10, len(words)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+            planted += 1
+        if n > 4000:
+            continue
+        runs = plain_runs(words, 12)
+        r, top = got[doc_id], min(runs, key=lambda x: (-x[1], x[0], x[2]), default=(None, None, None))
+        assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *top)
+        assert r.exponent_milli == (1000 * top[1] // top[2] if runs else None)
+        lines = "".join(f"{s},{ln},{q}\n" for s, ln, q in runs)
+        assert r.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(plain_collapsed(words, runs).encode()).hexdigest()
+    assert planted
+
+
+ODD = [None, "", " \n\t", "one", "a " * 11, "a " * 12, "x\ty\n" * 40, "q " + "ü é " * 9 + "z", "\x1c \x85 " * 8, "a b c d e f " * 3, "a b c d e f a b c d e f"]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10000])
+def test_odd_texts_and_clashing_columns(spark, batch):
+    rows = [(k, t, "r", 1, "x") for k, t in enumerate(ODD)] + [(None, "b " * 20, "r", 1, "x"), (1, "", "r", 1, "x"), (1, "", "r", 1, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, runs string, answer int, `a.b` string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = [(r.doc_id, r.text, [tuple(x) for x in r.runs], r.collapsed, r["a.b"]) for r in periodic_runs(df).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for doc_id, text, *_ in rows:
+        words = plain_words(text)
+        want.append((doc_id, text, plain_runs(words, 12), plain_collapsed(words, plain_runs(words, 12)), "x"))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert periodic_runs(df.limit(0)).collect() == []
+
+
+def test_long_text_takes_linear_time():
+    words = np.tile(np.random.default_rng(0).integers(0, 5, 40_000), 3)
+    got = runs_in(words, np.zeros(len(words), np.int64))
+    assert [0, 120_000, 40_000] in got.tolist()

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuekit.functions.text import let
+from valuekit.llm.bpe_automaton import decode_bpe, encode_bpe
 from valuekit.llm.conversations import FLAWS, plan_repair, repaired_digests
 from valuekit.llm.line_dedup import dedup_lines
 from valuekit.llm.mixing import mix_sources
@@ -17,6 +19,7 @@ from valuekit.llm.pieces import decode_pieces, encode_pieces
 from valuekit.llm.pii import BASE as PII_BASE
 from valuekit.llm.pii import find_pii, span_text
 from valuekit.llm.quality import classify_quality
+from valuekit.llm.runs import periodic_runs
 from valuekit.llm.secrets import BASE as SECRET_BASE
 from valuekit.llm.secrets import find_secrets
 from valuekit.llm.token_files import read_tokens, write_tokens
@@ -255,6 +258,45 @@ def op10(docs: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     return classify_quality(docs, labels, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
 
 
+def looped(text: Column, doc_id: Column) -> Column:
+    """One text in ten repeats a stretch of its words to its end, by a checksum of ``doc_id``."""
+    draw = F.crc32(doc_id.cast("string"))
+    seed = F.floor(draw / 10)
+
+    def loop(words: Column) -> Column:
+        size = F.size(words)
+        first = seed % size
+        at = F.struct(first.alias("first"), (1 + F.floor((size - first) / (3 + seed % 8))).alias("period"))
+        place = lambda i, b: F.when(i < b["first"], i).otherwise(b["first"] + (i - b["first"]) % b["period"]).cast("int")
+        return let(at, lambda b: F.array_join(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.get(words, place(i, b))), " "))
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(draw % 10 == 0, let(words, lambda w: F.when(F.size(w) > 0, loop(w)).otherwise(""))).otherwise(text)
+
+
+@query("op11_periodic_runs", "documents")
+def op11(docs: DataFrame) -> DataFrame:
+    found = periodic_runs(docs.select("doc_id", looped(F.col("text"), F.col("doc_id")).alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    told = found.select("doc_id", "runs", "collapsed", let(longest, lambda r: r).alias("top"))
+    length, start, period = (F.col(f"top.{c}") for c in ("length", "col2", "col3"))
+    return told.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-start).alias("start"), length.alias("length"), (-period).alias("period"),
+        F.floor(1000 * length / -period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_bpe", "documents")
+def op12(docs: DataFrame) -> DataFrame:
+    texts = docs.select("doc_id", encode_bpe(F.col("text")).alias("ids")).withColumn("decoded", decode_bpe(F.col("ids")))
+    return texts.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """``conversations`` with faults planted by a checksum of ``conv_id:turn``; nulls read as one space."""
     spaced = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
