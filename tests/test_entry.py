@@ -12,7 +12,7 @@ from tools.check_oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-SLOW = {"grid_search", "random_search", "halving_search", "train_report", "forest_fit_score", "gbt_fit_score"}
+SLOW = {"grid_search", "random_search", "halving_search", "halving_search_boosted", "train_report", "forest_fit_score", "gbt_fit_score"}
 
 
 @pytest.fixture(scope="module")

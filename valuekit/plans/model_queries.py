@@ -145,8 +145,14 @@ def random_search(t):
 
 @query("halving_search")
 def halving_search(t):
-    """All usual settings of forests and of boosted trees."""
-    return run(t, "Random Forest").unionByName(run(t, "XGBoost"))
+    """All usual settings of forests."""
+    return run(t, "Random Forest")
+
+
+@query("halving_search_boosted")
+def halving_search_boosted(t):
+    """All usual settings of boosted trees."""
+    return run(t, "XGBoost")
 
 
 @query("score_table", "SELECT l_partkey, l_linestatus, count(*) AS n_rows, 0::BIGINT AS not_scored, count(*) FILTER (l_orderkey % 10 = 0) AS without_target FROM lineitem GROUP BY 1, 2")
