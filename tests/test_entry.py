@@ -12,7 +12,7 @@ from tools.check_oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-SLOW = {"grid_search", "random_search", "halving_search", "halving_search_boosted", "train_report", "forest_fit_score", "gbt_fit_score"}
+SLOW = {"halving_search", "halving_search_boosted", "forest_fit_score", "gbt_fit_score"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def con():
 # The similarity score and the page parser run in Python; models may.
 # The dealt operators have tests of their own.
 DEALT = {n for n in QUERIES if n == "pipeline" or n.startswith("op") and n[2].isdigit()}
-PYTHON = {"model_round_trip", "assemble_vector", "html_table_rows", "partial_ratio", "nearest_value", "lastname_fuzzy", "enrich_left", "full_history", "score_table", "one_hot", "ridge_fit_score"}
+PYTHON = {"model_round_trip", "assemble_vector", "html_table_rows", "partial_ratio", "nearest_value", "lastname_fuzzy", "enrich_left", "full_history", "score_table", "one_hot", "ridge_fit_score", "forest_stump_score", "boosted_stump_score"}
 
 
 def check_plan(name, df):

@@ -178,3 +178,28 @@ def test_wide_ridge_equals_the_narrow_one(players, monkeypatch):
     narrow = pipeline.fit(rows).stages[-2].coefficients.toArray()
     monkeypatch.setattr(models, "NORMAL_COLUMNS", 1)
     assert pipeline.fit(rows).stages[-2].coefficients.toArray() == pytest.approx(narrow, abs=1e-4)
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_ridge_scores_from_sums_equal_single_fits(players, weighted):
+    """Gaps, texts with levels that some folds lack, weights: two passes against a fit per fold and penalty."""
+    rows = prep.group_folds(prep.features_target(players, TARGET, []), "player", 4)
+    rows = rows.withColumn("rare", F.when(F.col("player") == "p3", "only").when(F.col("goals") > 20, "many")).withColumn("__weight", 1 / (1 + F.col("goals")))
+    model = models.Ridge(labelCol=models.LOG_LABEL, weightCol="__weight" if weighted else None)
+    pipeline = models.log_pipeline(rows, model, TARGET, ["player", "fold", "__weight"])
+    maps = models.param_maps(model, {"alpha": [0.01, 5.0, 300.0]})
+    got = search._ridge_scores(pipeline, maps, rows, TARGET, "fold", 4)
+    _, want = search.cross_validate(pipeline, maps, rows, TARGET, "fold", 4, 4)
+    assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_wide_rows_are_fitted_one_by_one(players, monkeypatch):
+    from valuekit.ml import gram
+
+    monkeypatch.setattr(gram, "WIDEST", 3)
+    rows = prep.group_folds(prep.features_target(players, TARGET, ["team"]), "player", 3)
+    model = models.Ridge(labelCol=models.LOG_LABEL)
+    pipeline = models.log_pipeline(rows, model, TARGET, ["player", "fold"])
+    maps = models.param_maps(model, {"alpha": [1e-3, 1e6]})
+    assert search._ridge_scores(pipeline, maps, rows, TARGET, "fold", 3) is None
+    assert search.grid_search(pipeline, maps, rows, TARGET, folds=3)[1] == maps[0]

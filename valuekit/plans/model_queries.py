@@ -7,7 +7,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from valuekit.ml import prep, train
-from valuekit.ml.models import LOG_LABEL, PREDICTED, Ridge, boosted, forest, log_pipeline
+from valuekit.ml.ensembles import HistogramBoost, HistogramForest
+from valuekit.ml.models import LOG_LABEL, PREDICTED, RIDGE_ALPHAS, Ridge, boosted, forest, log_pipeline
+from valuekit.ml.search import chosen
 from valuekit.operators import analysis
 from valuekit.plans.registry import long, query, r4, sql_r4
 from valuekit.plans.value_queries import METRICS
@@ -16,6 +18,49 @@ TARGET = "l_extendedprice"
 GROUP = "l_partkey"
 
 
+# Closed form of ridge on two columns ``a`` and ``b``, filled and scaled, from ``fit(k, w, t, a, b)``: ``st`` holds the scales of
+# each ``k``, ``fo`` the coefficients of each ``k`` and penalty number ``i``.
+RIDGE_CTES = """
+  fill AS (SELECT k, median(a) AS fa, median(b) AS fb FROM fit GROUP BY k),
+  st AS (SELECT k, any_value(fa) AS fa, any_value(fb) AS fb, avg(coalesce(a, fa)) AS ma, stddev_pop(coalesce(a, fa)) AS sa,
+    avg(coalesce(b, fb)) AS mb, stddev_pop(coalesce(b, fb)) AS sb FROM fit JOIN fill USING (k) GROUP BY k),
+  z AS (SELECT k, w, t, (coalesce(a, fa) - ma) / sa AS a, (coalesce(b, fb) - mb) / sb AS b FROM fit JOIN st USING (k)),
+  s AS (SELECT k, sum(w) AS n, sum(w * a) AS a, sum(w * b) AS b, sum(w * t) AS t, sum(w * a * a) AS aa, sum(w * a * b) AS ab, sum(w * b * b) AS bb,
+    sum(w * a * t) AS ta, sum(w * b * t) AS tb FROM z GROUP BY k),
+  c AS (SELECT k, n, a, b, t, aa - a * a / n AS aa, ab - a * b / n AS ab, bb - b * b / n AS bb, ta - t * a / n AS ta, tb - t * b / n AS tb FROM s),
+  co AS (SELECT c.*, i, ((bb + alpha) * ta - ab * tb) / ((aa + alpha) * (bb + alpha) - ab * ab) AS ca,
+    ((aa + alpha) * tb - ab * ta) / ((aa + alpha) * (bb + alpha) - ab * ab) AS cb FROM c, alphas),
+  fo AS (SELECT k, i, ca, cb, (t - ca * a - cb * b) / n AS c0 FROM co)"""
+MARGIN = "c0 + ca * (coalesce(a, fa) - ma) / sa + cb * (coalesce(b, fb) - mb) / sb"
+
+
+def penalties(alphas) -> str:
+    """``alphas(i, alpha, shown)``: penalties by number, and the settings as a report names them."""
+    named = (str({"alpha": a}).replace("'", "''") for a in alphas)
+    return "alphas(i, alpha, shown) AS (VALUES " + ", ".join(f"({i}, {float(a)!r}::DOUBLE, '{n}')" for i, (a, n) in enumerate(zip(alphas, named))) + ")"
+
+
+def searched_sql(a: str, b: str, alphas, variant: str = "") -> str:
+    """Metrics of the best penalty over group folds, by the closed form."""
+    key = lambda seed: f"substr(md5('{seed}:' || l_partkey::VARCHAR), 1, 8)"
+    return f"""
+WITH base AS (
+  SELECT l_extendedprice AS y, ln(1 + l_extendedprice) AS t, {a} AS a, {b} AS b,
+    CASE WHEN {key(42)} < '33333333' THEN 'test' WHEN {key(43)} < '40000000' THEN 'validation' ELSE 'train' END AS split,
+    ({key(44)} >= '33333333')::INT + ({key(44)} >= '66666666')::INT + ({key(44)} >= '99999999')::INT + ({key(44)} >= 'cccccccc')::INT AS fold
+  FROM lineitem
+), m AS (SELECT median(y) AS med FROM base WHERE split = 'train'), d AS (SELECT median(abs(y - med)) AS mad FROM base, m WHERE split = 'train'),
+wt AS (SELECT base.*, 1 / (1 + abs(y - med) / (mad * 1.5 + 1e-6)) AS w FROM base, m, d WHERE split = 'train'),
+fit AS (SELECT k, wt.* FROM wt, (SELECT unnest(range(6)) AS k) WHERE fold <> k), {penalties(alphas)}, {RIDGE_CTES},
+judged AS (SELECT i, k, avg((exp({MARGIN}) - 1 - y) ** 2) AS mse FROM wt JOIN st ON st.k = wt.fold JOIN fo USING (k) GROUP BY i, k),
+best AS (SELECT i FROM judged GROUP BY i ORDER BY avg(mse), i LIMIT 1),
+p AS (SELECT split, y, exp({MARGIN}) - 1 AS p FROM base, st JOIN fo USING (k) JOIN best USING (i) WHERE k = 5 AND split <> 'train')
+SELECT '{variant}' AS variant, upper(substr(split, 1, 1)) || substr(split, 2) AS dataset, 'Linear Regression' AS model, {sql_r4('sqrt(avg((y - p) ** 2))')} AS rmse,
+  {sql_r4('1 - sum((y - p) ** 2) / (var_pop(y) * count(*))')} AS r2, {sql_r4('avg(abs(y - p))')} AS mae, {sql_r4('median(abs(y - p))')} AS medae,
+  {sql_r4(f'avg(abs(y - p) / greatest(abs(y), {analysis.EPSILON!r})) * 100')} AS mape, (SELECT shown FROM alphas JOIN best USING (i)) AS best_params
+FROM p GROUP BY split"""
+
+
 def lines(t):
     return t("lineitem").select(GROUP, TARGET, "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
@@ -92,16 +137,47 @@ def group_kfold(t):
 
 @query(
     "ridge_fit_score",
-    f"""WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(ln(1 + l_extendedprice)) AS my FROM lineitem),
-        f AS (SELECT sum((l_quantity - mq) / sq * (ln(1 + l_extendedprice) - my)) / (sum(((l_quantity - mq) / sq) ** 2) + 5000) AS slope FROM lineitem, s)
-        SELECT l_quantity, {sql_r4('exp(my + slope * (l_quantity - mq) / sq) - 1')} AS predicted FROM (SELECT DISTINCT l_quantity FROM lineitem), s, f""",
+    f"""WITH fit AS (SELECT 0 AS k, l_discount + 0.5 AS w, ln(1 + l_extendedprice) AS t, l_quantity AS a, nullif(l_tax, 0) AS b FROM lineitem), {penalties([5000])}, {RIDGE_CTES}
+        SELECT l_returnflag, count(*) AS n_rows, {sql_r4(f'sum(exp({MARGIN}) - 1) / count(*)')} AS predicted
+        FROM (SELECT l_returnflag, l_quantity AS a, nullif(l_tax, 0) AS b FROM lineitem), st JOIN fo USING (k) GROUP BY 1""",
 )
 def ridge_fit_score(t):
+    """Weighted, on two columns, one of them with gaps."""
+    rows = t("lineitem").select("l_returnflag", (F.col("l_discount") + 0.5).alias("w"), "l_quantity", F.nullif("l_tax", F.lit(0.0)).alias("l_tax"), TARGET)
+    fitted = log_pipeline(rows, Ridge(labelCol=LOG_LABEL, weightCol="w", alpha=5000.0), TARGET, ["l_returnflag", "w"]).fit(rows)
+    scored = fitted.transform(rows).groupBy("l_returnflag")
+    return scored.agg(F.count("*").alias("n_rows"), r4(F.avg(PREDICTED)).alias("predicted"))
+
+
+def stump_sql(l1: float, l2: float, base: str, step: float) -> str:
+    """The best single cut of the quantities by the penalised score, and what it predicts for each quantity."""
+    soft = lambda g: f"sign({g}) * greatest(abs({g}) - {l1}, 0)"
+    score = lambda g, n: f"({soft(g)}) ** 2 / ({n} + {l2})"
+    return f"""
+WITH v AS (SELECT l_quantity AS q, ln(1 + l_extendedprice) AS t FROM lineitem), b AS (SELECT {base} AS base FROM v),
+g AS (SELECT q, count(*)::DOUBLE AS n, sum(t - base) AS g FROM v, b GROUP BY q), a AS (SELECT sum(n) AS nn, sum(g) AS gg FROM g),
+c AS (SELECT q, sum(n) OVER (ORDER BY q) AS n, sum(g) OVER (ORDER BY q) AS g FROM g),
+best AS (SELECT q AS cut, n, g, nn, gg, base FROM c, a, b WHERE n < nn ORDER BY {score('g', 'n')} + {score('gg - g', 'nn - n')} DESC, q LIMIT 1)
+SELECT l_quantity, count(*) AS n_rows, {sql_r4(f"exp(any_value(base + {step} * CASE WHEN l_quantity <= cut THEN ({soft('g')}) / (n + {l2}) ELSE ({soft('gg - g')}) / (nn - n + {l2}) END)) - 1")} AS predicted
+FROM lineitem, best GROUP BY l_quantity"""
+
+
+def stump(t, regressor):
     rows = t("lineitem").select("l_quantity", TARGET)
-    fitted = log_pipeline(rows, Ridge(labelCol=LOG_LABEL, alpha=5000.0), TARGET, []).fit(rows)
-    return fitted.transform(rows.select("l_quantity").distinct().withColumn(TARGET, F.lit(None).cast("double"))).select(
-        "l_quantity", r4(F.col(PREDICTED)).alias("predicted")
-    )
+    scored = log_pipeline(rows, regressor, TARGET, []).fit(rows).transform(rows).groupBy("l_quantity")
+    return scored.agg(F.count("*").alias("n_rows"), r4(F.min(PREDICTED)).alias("predicted"))
+
+
+@query("forest_stump_score", stump_sql(0, 0, "0::DOUBLE", 1))
+def forest_stump_score(t):
+    """One tree of one split on all rows."""
+    return stump(t, HistogramForest(labelCol=LOG_LABEL, numTrees=1, maxDepth=1, bootstrap=False))
+
+
+@query("boosted_stump_score", stump_sql(50, 1000, "avg(t)", 0.5))
+def boosted_stump_score(t):
+    """One boosted split with penalties on its leaves."""
+    return stump(t, HistogramBoost(labelCol=LOG_LABEL, maxIter=1, maxDepth=1, stepSize=0.5, l1=50.0, l2=1000.0))
 
 
 def fit_and_judge(t, regressor):
@@ -132,15 +208,24 @@ def run(t, model, **options):
     return judged(train.train(lines(t), model, TARGET, GROUP, **options)[1])
 
 
-@query("grid_search")
+def pair(t):
+    """Two columns, so that SQL can solve the equations."""
+    return t("lineitem").select(GROUP, TARGET, "l_quantity", "l_tax")
+
+
+@query("grid_search", searched_sql("l_quantity", "l_tax", RIDGE_ALPHAS))
 def grid_search(t):
-    return run(t, "Linear Regression")
+    return judged(train.train(pair(t), "Linear Regression", TARGET, GROUP)[1])
+
 
+# 25 penalties, the usual ones among them.
+MANY_ALPHAS = [10 ** (k / 4 - 4) for k in range(25)]
 
-@query("random_search")
+
+@query("random_search", searched_sql("l_quantity", "l_tax", chosen(MANY_ALPHAS)))
 def random_search(t):
-    """Ten of 25 penalties, the usual ones among them."""
-    return run(t, "Linear Regression", search="random", grid={"alpha": [10 ** (k / 4 - 4) for k in range(25)]})
+    """Ten of 25 penalties."""
+    return judged(train.train(pair(t), "Linear Regression", TARGET, GROUP, search="random", grid={"alpha": MANY_ALPHAS})[1])
 
 
 @query("halving_search")
@@ -155,24 +240,29 @@ def halving_search_boosted(t):
     return run(t, "XGBoost")
 
 
-@query("score_table", "SELECT l_partkey, l_linestatus, count(*) AS n_rows, 0::BIGINT AS not_scored, count(*) FILTER (l_orderkey % 10 = 0) AS without_target FROM lineitem GROUP BY 1, 2")
+@query(
+    "score_table",
+    f"""WITH fit AS (SELECT 0 AS k, 1 AS w, ln(1 + l_extendedprice) AS t, l_quantity AS a, l_tax AS b FROM lineitem WHERE l_orderkey % 10 > 0), {penalties([1])}, {RIDGE_CTES}
+        SELECT l_partkey, l_linestatus, count(*) AS n_rows, count(*) FILTER (l_orderkey % 10 = 0) AS without_target, {sql_r4(f'sum(round_even(exp({MARGIN}) - 1, 2))')} AS predicted
+        FROM (SELECT l_partkey, l_linestatus, l_orderkey, l_quantity AS a, l_tax AS b FROM lineitem), st JOIN fo USING (k) GROUP BY 1, 2""",
+)
 def score_table(t):
     """Fit on rows with a target, score all rows."""
-    rows = t("lineitem").withColumn(TARGET, F.when(F.col("l_orderkey") % 10 > 0, F.col(TARGET))).select(*lines(t).columns)
+    rows = t("lineitem").select(GROUP, "l_linestatus", "l_quantity", "l_tax", F.when(F.col("l_orderkey") % 10 > 0, F.col(TARGET)).alias(TARGET))
     known = prep.features_target(rows, TARGET, [])
-    model = log_pipeline(known, Ridge(labelCol=LOG_LABEL), TARGET, [GROUP]).fit(known)
-    scored = train.score(model, rows, TARGET)
-    return scored.groupBy(GROUP, "l_linestatus").agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col(train.PREDICTION).isNull()).alias("not_scored"), F.count_if(F.col(TARGET).isNull()).alias("without_target")
+    model = log_pipeline(known, Ridge(labelCol=LOG_LABEL), TARGET, [GROUP, "l_linestatus"]).fit(known)
+    return train.score(model, rows, TARGET).groupBy(GROUP, "l_linestatus").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col(TARGET).isNull()).alias("without_target"), r4(F.sum(train.PREDICTION)).alias("predicted")
     )
 
 
-@query("train_report")
+# Each variant's second column; the first one is the quantity.
+VARIANTS = {
+    "enhanced_feature_engineering": "l_quantity * (1 - l_discount)", "feature_engineering": "l_tax / nullif(l_discount, 0)", "no_feature_engineering": "l_tax",
+}
+
+
+@query("train_report", " UNION ALL ".join(f"SELECT * FROM ({searched_sql('l_quantity', b, RIDGE_ALPHAS, name)})" for name, b in VARIANTS.items()))
 def train_report(t):
-    rows = lines(t)
-    priced = rows.withColumn("rate", F.col("l_tax") / F.nullif("l_discount", F.lit(0.0)))
-    tables = {
-        "enhanced_feature_engineering": priced.withColumn("net", F.col("l_quantity") * (1 - F.col("l_discount"))),
-        "feature_engineering": priced, "no_feature_engineering": rows,
-    }
+    tables = {name: t("lineitem").select(GROUP, TARGET, "l_quantity", F.expr(b).alias("other")) for name, b in VARIANTS.items()}
     return judged(train.train_report(tables, "Linear Regression", TARGET, GROUP))
