@@ -214,3 +214,23 @@ def test_collapse_joins_texts_where_no_number_is(frame):
     df = frame([("a", 1.0, "25-100"), ("a", 1.0, "24-200"), ("b", 1.0, "2000"), ("b", 3.0, "1996"), ("c", 1.0, None)], "k string, w double, born string")
     got = {r.k: r.born for r in collapse.collapse(df, ["k"], "w", {"born": "wmean_or_join"}).collect()}
     assert got == {"a": "24-200/25-100", "b": "1997.0", "c": None}
+
+
+def test_a_hot_key_may_hold_a_million_distinct_tokens(spark):
+    """Values part before they meet: no raw set per key, and each value crosses the network once."""
+    ids = spark.range(1_000_000).select(F.lit("hot").alias("k"), F.concat(F.col("id").cast("string"), F.lit(", x")).alias("t"), (F.col("id") % 3).cast("string").alias("j"), F.lit(1.0).alias("v"))
+    df = ids.unionByName(ids.limit(5).withColumn("k", F.lit("small")))
+    made = collapse.collapse(df, ["k"], "v", {"j": "join", "t": "tokens", "v": "sum"})
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "CartesianProduct" not in plan
+    got = {r.k: r for r in made.select("k", "j", "v", F.size(F.split("t", ", ")).alias("n"), F.substring("t", 1, 10).alias("start"), F.substring("t", -4, 4).alias("end")).collect()}
+    assert (got["hot"].n, got["hot"].j, got["hot"].v, got["hot"].start, got["hot"].end) == (1_000_001, "0/1/2", 1_000_000.0, "0, 1, 10, ", "9, x")
+    assert (got["small"].n, got["small"].j) == (6, "0/1/2")
+
+
+def test_tokens_and_joins_of_nulls_and_odd_names(frame):
+    df = frame([("a", None, None), ("a", "x,,y / x", "q"), ("b", None, None), ("b", "", None), (None, "z", "z")], "k string, t string, `j.1` string")
+    got = {r.k: (r.t, r["j.1"]) for r in collapse.collapse(df, ["k"], None, {"t": "tokens", "j.1": "join"}).collect()}
+    assert got == {"a": ("x, y", "q"), "b": ("", None)}
+    only = {r.k: r.t for r in collapse.collapse(df, ["k"], None, {"t": "tokens"}).collect()}
+    assert only == {"a": "x, y", "b": ""}

@@ -108,3 +108,50 @@ def test_name_joins_stay_equi_joins(frame):
         assert "CartesianProduct" not in text_plan and "BroadcastNestedLoopJoin" not in text_plan and "BatchEvalPython" not in text_plan
     keys = df.select(text.cascade_keys(F.col("player")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in keys
+
+
+def score_pairs():
+    """Texts of clubs with slips of the pen, texts of few characters, and noise."""
+    rng = random.Random(5)
+    words = ["porto", "real", "fc", "united", "são", "paulo", "sporting", "city", "a", "xy", "zwolle", "1860", "münchen"]
+    letters = "abcdeo pr"
+
+    def slip(text):
+        chars = list(text)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(chars) + 1)
+            chars[at : at + rng.randint(0, 1)] = rng.choice(["", letters[rng.randrange(9)]])
+        return "".join(chars)
+
+    out = [("", ""), ("", "a"), ("a", "b"), ("ab", "ba"), ("abc", "xabxc")]
+    for _ in range(1500):
+        base = " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+        other = slip(base)[rng.randint(0, 3) :] if rng.random() < 0.7 else " ".join(rng.choice(words) for _ in range(rng.randint(1, 3)))
+        out.append((base, other))
+        out.append(tuple("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(2)))
+    return out
+
+
+@pytest.mark.parametrize("least", [0.0, 50.0, 70.0, 80.0, 95.0, 100.0])
+def test_no_pair_is_lost_before_the_score(spark, least):
+    """Pairs told by their characters alone never reach the score; at 80 most pairs never see Python."""
+    from valuekit.functions import fuzzy
+
+    pairs = score_pairs()
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    want = {k: s for k, (a, b) in enumerate(pairs) if (s := brute_ratio(a.lower(), b.lower()) if a and b else 100.0 * (a == b)) >= least}
+    hopeful = {r.k for r in df.filter(fuzzy.may_reach(F.col("a"), F.col("b"), least)).collect()}
+    assert set(want) <= hopeful
+    assert {r.k: pytest.approx(r.score) for r in fuzzy.resembling(df, "a", "b", least).collect()} == want
+    if least >= 80:
+        assert len(hopeful) < 0.75 * len(pairs)
+
+
+def test_enrichment_writes_few_tables(spark, monkeypatch):
+    from valuekit import scale
+    from valuekit.plans import registry, value_queries
+
+    written, fresh = [], scale.fresh_path
+    monkeypatch.setattr(scale, "fresh_path", lambda s: written.append(1) or fresh(s))
+    assert value_queries.enrich_left(registry.Tables(spark, "/root/testdata/sf0.001")).count() > 0
+    assert len(written) <= 6

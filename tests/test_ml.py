@@ -203,3 +203,25 @@ def test_wide_rows_are_fitted_one_by_one(players, monkeypatch):
     maps = models.param_maps(model, {"alpha": [1e-3, 1e6]})
     assert search._ridge_scores(pipeline, maps, rows, TARGET, "fold", 3) is None
     assert search.grid_search(pipeline, maps, rows, TARGET, folds=3)[1] == maps[0]
+
+
+def test_many_levels_get_the_same_slots_from_a_table(frame, monkeypatch, tmp_path):
+    """Levels numbered by a table and a join against those the driver lists; unseen and missing values included."""
+    rows = [(float(i), None if i % 7 == 0 else f"l{i % 23}", "é" if i % 2 else "z") for i in range(120)]
+    df = frame(rows, "n double, a string, b string")
+    new = frame([(0.0, "never", "z"), (1.0, "l3", None)], "n double, a string, b string")
+    vectors = lambda model: [r.features for r in model.transform(df.unionByName(new)).orderBy("n", "a", "b").select("features").collect()]
+    listed = vectors(Pipeline(stages=prep.prep_stages(df, [])).fit(df))
+    monkeypatch.setattr(prep, "LISTED_LEVELS", 5)
+    model = Pipeline(stages=prep.prep_stages(df, [])).fit(df)
+    assert any(isinstance(s, prep.LevelDictionary) for s in model.stages) and vectors(model) == listed
+    model.write().overwrite().save(str(tmp_path / "m"))
+    assert vectors(PipelineModel.load(str(tmp_path / "m"))) == listed
+
+
+def test_a_million_levels_stay_off_the_driver(spark):
+    df = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_000).cast("string").alias("t"))
+    model = Pipeline(stages=prep.prep_stages(df, [])).fit(df)
+    assert isinstance(model.stages[1], prep.LevelDictionary)
+    got = model.transform(df.filter("t IN ('0', '1', '999999')")).select("t", "features").collect()
+    assert {r.t: (r.features.size, r.features.indices.tolist()) for r in got} == {"0": (1_000_000, [0]), "1": (1_000_000, [1]), "999999": (1_000_000, [999_999])}

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.operators.schema import numeric_columns, text_columns
-from valuekit.scale import attach, col, medians, null_safe_join, settle
+from valuekit.scale import attach, col, medians, null_safe_join, positions, settle, settled_size
 
 
 def features_target(df: DataFrame, target: str, drop: Sequence[str]) -> DataFrame:
@@ -97,11 +98,77 @@ class NumericPrep(Estimator):
         return SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")
 
 
+# Texts with more levels than this are numbered by a join instead of lists that the driver holds.
+LISTED_LEVELS = 100_000
+
+
+class LevelIndexer(Estimator):
+    """Codes 0, 1, ... for the levels of text columns in order; a value that wasn't there takes the code behind the last one.
+
+    Few levels become a ``StringIndexerModel``. Beyond ``LISTED_LEVELS`` the dictionary of a column is a table, numbered by range partitions and attached by a join.
+    """
+
+    def __init__(self, inputs: Sequence[str], outputs: Sequence[str]):
+        super().__init__()
+        self.inputs, self.outputs = list(inputs), list(outputs)
+
+    def _fit(self, dataset: DataFrame) -> Transformer:
+        counts = dataset.agg(*[F.approx_count_distinct(col(c)) for c in self.inputs]).first()
+        if max(counts) <= LISTED_LEVELS:
+            # An unseen value takes the extra last code, which the encoder drops: all zeros.
+            return StringIndexer(inputCols=self.inputs, outputCols=self.outputs, handleInvalid="keep", stringOrderType="alphabetAsc").fit(dataset)
+        levels = [dataset.select(col(c).alias("level")).filter("level IS NOT NULL").distinct() for c in self.inputs]
+        tables = [settle(positions(table, [], [F.col("level")], "code").select("level", (F.col("code") - 1).cast("double").alias("code"))) for table in levels]
+        return LevelDictionary(self.inputs, self.outputs, tables, [settled_size(table)[0] for table in tables])
+
+
+class LevelDictionary(Transformer, MLWritable, MLReadable):
+    """Levels and codes as one table per column."""
+
+    def __init__(self, inputs: Sequence[str] = (), outputs: Sequence[str] = (), tables: Sequence[DataFrame] = (), sizes: Sequence[int] = ()):
+        super().__init__()
+        self.inputs, self.outputs, self.tables, self.sizes = list(inputs), list(outputs), list(tables), list(sizes)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        for name, output, table, size in zip(self.inputs, self.outputs, self.tables, self.sizes):
+            coded = attach(dataset, table.withColumnRenamed("level", name).withColumnRenamed("code", output), [name])
+            nominal = {"ml_attr": {"type": "nominal", "name": output, "num_vals": size + 1}}
+            dataset = coded.withColumn(output, F.coalesce(col(output), F.lit(float(size))).alias(output, metadata=nominal))
+        return dataset
+
+    def write(self) -> MLWriter:
+        return _DictionaryWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _DictionaryReader()
+
+
+class _DictionaryWriter(MLWriter):
+    def __init__(self, model: LevelDictionary):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        held = {"inputs": self.model.inputs, "outputs": self.model.outputs, "sizes": self.model.sizes}
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, held)
+        for k, table in enumerate(self.model.tables):
+            table.write.parquet(f"{path}/levels-{k}")
+
+
+class _DictionaryReader(MLReader):
+    def load(self, path: str) -> LevelDictionary:
+        held = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        tables = [self.sparkSession.read.parquet(f"{path}/levels-{k}") for k in range(len(held["inputs"]))]
+        model = LevelDictionary(held["inputs"], held["outputs"], tables, held["sizes"])
+        model._resetUid(held["uid"])
+        return model
+
+
 def prep_stages(df: DataFrame, skip: Sequence[str], features: str = "features", hash_width: int | None = None) -> list:
     """Stages from raw columns to one feature vector; columns in ``skip`` take no part.
 
-    Texts get an indicator per level. The levels of all columns pass through the driver, so for columns with very many of them
-    callers choose ``hash_width``: indicators are then hashed into that many places, and nothing is counted or collected.
+    Texts get an indicator per level, in order of the levels. With ``hash_width`` indicators are hashed into that many places instead, and nothing is counted.
     """
     numeric, text = numeric_columns(df, skip), text_columns(df, skip)
     stages, inputs = [], []
@@ -118,8 +185,7 @@ def prep_stages(df: DataFrame, skip: Sequence[str], features: str = "features",
             inputs.append("__hashed")
         else:
             stages += [
-                # An unseen value takes the extra last code, which the encoder drops: all zeros.
-                StringIndexer(inputCols=names, outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"),
+                LevelIndexer(names, codes),
                 OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
             ]
             inputs += hot

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.functions.fuzzy import partial_ratio
+from valuekit.functions.fuzzy import resembling
 from valuekit.functions.paths import season_of
-from valuekit.scale import attach, col, pair_off, settle
+from valuekit.scale import attach, col, lookup, pair_off, settle
 
 
 def in_season(history: DataFrame, season_end: int | None = None) -> DataFrame:
@@ -38,32 +38,23 @@ def pick_value(
     place = F.struct(F.datediff(last_day, "date").alias("days"), F.col("position").alias("position"))
     entry = F.struct(place.alias("place"), F.col("value").alias("value"))
     # One entry per club, season and id is enough: it is the nearest of its kind.
-    per_club = (
+    clubs = (
         in_season(history)
-        .withColumn("club", F.coalesce("club", F.lit("")))
-        .groupBy(F.col("id").alias(id), F.col("season_end").alias(season_end), "club")
+        .withColumn("__club", F.coalesce("club", F.lit("")))
+        .groupBy(F.col("id").alias(id), F.col("season_end").alias(season_end), "__club")
         .agg(F.min_by(entry, place).alias("entry"))
     )
-    clubs = settle(per_club.withColumnRenamed("club", "__club"))
-    # Teams and clubs meet as distinct texts: each pair of them is scored once, however many people share it.
+    # Teams and clubs meet as distinct texts of an id and season, each club with its entry.
     teams = wanted.select(col(id), col(season_end), col(team).alias("__team")).distinct()
-    met = settle(pair_off(teams, clubs.select(col(id), col(season_end), "__club").distinct(), [id, season_end], "__team", "__club"))
-    texts = met.select("__team", "__club").distinct()
-    alike = settle(texts.filter(partial_ratio(F.col("__team"), F.col("__club")) >= min_score).withColumn("__alike", F.lit(True)))
-    good = attach(met, alike, ["__team", "__club"]).filter("__alike").drop("__alike")
-    of_team = good.join(clubs, [id, season_end, "__club"]).groupBy(col(id), col(season_end), "__team").agg(
-        F.min_by("entry", F.col("entry.place")).alias("entry")
-    )
-    candidates = attach(wanted, of_team.withColumnRenamed("__team", team), [id, season_end, team]).filter(F.col("entry").isNotNull())
-    nearest = candidates.groupBy(*[col(k) for k in keys]).agg(
-        F.min_by("entry", F.col("entry.place")).alias("nearest")
-    )
+    met = pair_off(teams, clubs, [id, season_end], "__team", "__club")
+    good = resembling(met, "__team", "__club", min_score, "__score")
+    nearest = good.groupBy(col(id), col(season_end), "__team").agg(F.min_by("entry", F.col("entry.place")).alias("nearest"))
     far = F.make_date(F.lit(9999), F.lit(12), F.lit(31))
     age = F.struct(F.coalesce("date", far).alias("date"), F.col("position").alias("position"))
     earliest = history.groupBy(F.col("id").alias(id)).agg(
         F.min_by(F.struct(F.col("value").alias("value")), age).alias("earliest")
     )
-    both = attach(attach(wanted, earliest, [id]), nearest, keys, split_hot=False)
+    both = lookup(lookup(wanted, nearest.withColumnRenamed("__team", team), [id, season_end, team]), earliest, [id])
     found = F.col("nearest").isNotNull()
     return both.select(
         *[col(k) for k in keys],
@@ -77,8 +68,8 @@ def enrich(
     season_end: str = "season_end", value: str = "Market Value",
 ) -> DataFrame:
     """Every row keeps its place and gets a value or NULL."""
-    people = settle(df.select(col(name), col(team), col(season_end)).distinct())
-    known = attach(people, matches.select(col(name), col(team), "id"), [name, team])
+    people = df.select(col(name), col(team), col(season_end)).distinct()
+    known = lookup(people, matches.select(col(name), col(team), "id"), [name, team])
     keys = [name, team, season_end]
     picked = pick_value(known, history, "id", team, season_end, keep=[name])
     valued = picked.select(*[col(k) for k in keys], F.col("value").cast("double").alias(value), "match_kind")

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.functions.fuzzy import partial_ratio
+from valuekit.functions.fuzzy import resembling
 from valuekit.functions.text import cascade_keys, last_name, name_key, name_key_spaced, repair_mojibake
 from valuekit.operators.clean import dedupe_first
-from valuekit.scale import PAIRS_PER_TASK, attach, col, pair_off, settle
+from valuekit.scale import PAIRS_PER_TASK, attach, col, lookup, pair_off, settle
 
 
 def join_on_name(
@@ -48,14 +48,13 @@ def match_by_spelling(names: DataFrame, index: DataFrame, name: str) -> DataFram
     Most names hit as they stand, so that one key is tried first; only the rest unfold into all spellings.
     """
     wanted = names.select(col(name)).filter(col(name).isNotNull()).distinct()
-    listed = settle(listed_under(index))
-    literal = settle(attach(wanted.withColumn("key", repair_mojibake(col(name))), listed, ["key"], split_hot=False).drop("key"))
-    found = literal.filter(F.col("id").isNotNull())
-    rest = literal.filter(F.col("id").isNull()).select(col(name))
-    tries = rest.select(col(name), F.posexplode(cascade_keys(col(name))).alias("priority", "key"))
-    # Many names may share a spelling: a hot one is served from a broadcast, not from one task.
-    hits = attach(tries, listed, ["key"]).filter(F.col("id").isNotNull())
-    return found.unionByName(hits.groupBy(col(name)).agg(F.min_by("id", "priority").alias("id")))
+    listed = listed_under(index)
+    literal = lookup(wanted.withColumn("key", repair_mojibake(col(name))), listed, ["key"]).drop("key").withColumnRenamed("id", "__literal")
+    tries = F.when(F.col("__literal").isNull(), cascade_keys(col(name))).otherwise(F.array(F.lit(None).cast("string")))
+    unfolded = literal.select(col(name), "__literal", F.posexplode(tries).alias("priority", "key"))
+    # A name that hit as it stands has one empty try, which nothing is listed under.
+    hits = lookup(unfolded, listed.filter("key IS NOT NULL"), ["key"]).withColumn("id", F.coalesce("__literal", "id"))
+    return hits.filter(F.col("id").isNotNull()).groupBy(col(name)).agg(F.min_by("id", "priority").alias("id"))
 
 
 def match_by_last_name(
@@ -66,7 +65,7 @@ def match_by_last_name(
     Only distinct (last name, team) and (last name, club) meet, in slices of about ``pairs`` pairs.
     """
     wanted = people.select(col(name), col(team)).distinct().withColumn("__last", last_name(col(name)))
-    wanted = settle(wanted.filter((F.col("__last") != "") & (col(team) != "")))
+    wanted = wanted.filter((F.col("__last") != "") & (col(team) != ""))
     teams = wanted.select("__last", col(team).alias("__team")).distinct()
     # Of entries with one club the first listed wins, as a later equal score never replaces an earlier one.
     clubs = (
@@ -75,23 +74,19 @@ def match_by_last_name(
         .groupBy("__last", "__club")
         .agg(F.min(F.struct("result_rank", "id")).alias("__entry"))
     )
-    scored = (
-        pair_off(teams, settle(clubs), ["__last"], "__team", "__club", pairs)
-        .withColumn("score", partial_ratio(F.col("__team"), F.col("__club")))
-        .filter(F.col("score") >= min_score)
-    )
+    scored = resembling(pair_off(teams, clubs, ["__last"], "__team", "__club", pairs), "__team", "__club", min_score)
     best = scored.groupBy("__last", "__team").agg(
         F.max("score").alias("score"),
         F.min_by(F.col("__entry.id"), F.struct(-F.col("score"), F.col("__entry"))).alias("id"),
     )
-    found = attach(wanted, best.withColumnRenamed("__team", team), ["__last", team])
+    found = lookup(wanted, best.withColumnRenamed("__team", team), ["__last", team])
     return found.filter(F.col("id").isNotNull()).select(col(name), col(team), "id", "score")
 
 
 def match_entities(df: DataFrame, index: DataFrame, name: str, team: str, min_score: float = 80) -> DataFrame:
     """``(name, team, id, found_by)`` for each distinct pair that has a match."""
-    people = settle(df.select(col(name), col(team)).filter(col(name).isNotNull()).distinct())
-    spelled = settle(attach(people, match_by_spelling(people, index, name), [name]))
+    people = df.select(col(name), col(team)).filter(col(name).isNotNull()).distinct()
+    spelled = settle(lookup(people, match_by_spelling(people, index, name), [name]))
     direct = spelled.filter(F.col("id").isNotNull()).withColumn("found_by", F.lit("spelling"))
     rest = spelled.filter(F.col("id").isNull()).select(col(name), col(team))
     fallback = match_by_last_name(rest, index, name, team, min_score)

@@ -109,6 +109,14 @@ def attach(
     return hot_rows.unionByName(cold_rows)
 
 
+def lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join ``dim`` (one row per key) without writing it first, for tables of distinct keys.
+
+    Adaptive execution broadcasts the side whose shuffled bytes turn out small, and splits a partition that a hot key has filled.
+    """
+    return null_safe_join(df, dim, keys, "left")
+
+
 def pair_off(
     left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str, other: str, pairs: int = PAIRS_PER_TASK
 ) -> DataFrame:
