@@ -71,7 +71,7 @@ STAGES = [
     ("mixing to target weights", mix), ("sentencepiece", to_pieces),
 ]
 
-# Boosted trees, the join's components and the pieces can't be said in SQL; tests/test_pipeline.py compares with a plain version.
+# Boosted trees, the join's components and the pieces can't be said in SQL; tests/llm/test_pipeline.py compares with a plain version.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,7 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
 import os
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -79,3 +80,15 @@ print("rows", e.queries()["partial_ratio"](spark, {FOLDER!r}).count() > 0, e.que
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows True True" in done.stdout, done.stderr[-2000:]
+
+
+def test_the_rest_works_without_the_training_data_package(tmp_path):
+    """A copy without those folders and the pipeline imports, registers the other queries and collects the other tests."""
+    root = Path(entry.__file__).parent
+    left_out = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__", "*.json")
+    shutil.copytree(root, tmp_path / "copy", ignore=left_out)
+    code = "import __spark_entry__ as e; print('queries', len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=120)
+    assert f"queries {len(QUERIES) - len(DEALT)} {len(set(SQL) - DEALT)}" in done.stdout, done.stderr[-2000:]
+    done = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only"], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stdout[-2000:]
