@@ -180,7 +180,8 @@ def decode_pieces(ids: Column, model: str | None = None) -> Column:
         pieces = load(_resolved(model))
         return pd.Series([pieces.decode(_known(r)) for r in rows], index=rows.index, dtype=object)
 
-    return decode(ids)
+    # What stands between keeps the two steps apart: nested directly, Spark would encode once for the ids and once more for decoding.
+    return decode(F.coalesce(ids, F.array().cast("array<int>")))
 
 
 def _known(ids: np.ndarray | None) -> list[int]:
