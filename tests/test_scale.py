@@ -127,3 +127,25 @@ def test_modes_break_ties_to_the_smallest(frame):
     df = frame([("x", "b", None), ("x", "a", None), ("x", None, None), ("y", "b", "q"), ("y", "b", "p"), ("y", "a", "q")], "g string, a string, c string")
     got = {r.g: (r.a, r.c) for r in scale.modes(df, ["a", "c"], ["g"]).collect()}
     assert got == {"x": ("a", None), "y": ("b", "q")}
+
+
+def test_scratch_leaves_nothing_behind(spark, tmp_path):
+    from pathlib import Path
+
+    from valuekit.session import fresh_path, scratch, shared_folder
+
+    kept = scale.settle(spark.range(3))
+    before = set(Path(shared_folder(spark)).iterdir())
+    with scratch(spark):
+        table = scale.settle(spark.range(10))
+        with scratch(spark):
+            inner = fresh_path(spark)
+            scale.settle(spark.range(5)).write.parquet(inner)
+        assert not Path(inner).exists() and table.count() == 10
+        table.write.parquet(str(tmp_path / "out"))
+    assert set(Path(shared_folder(spark)).iterdir()) == before and kept.count() == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        scale.settle(spark.range(10))
+        raise ZeroDivisionError
+    assert set(Path(shared_folder(spark)).iterdir()) == before

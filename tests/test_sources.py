@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from valuekit.functions import paths
 from valuekit.operators import analysis, correct
-from valuekit.sources import html, readers, writers
+from valuekit.sources import html, readers, versions, writers
 
 
 def plan(df):
@@ -163,3 +163,67 @@ def test_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n2,one\n')
     rows = readers.read_raw(spark, str(tmp_path), ["x", "y"], quoted_breaks=True).orderBy("line_order").collect()
     assert [(r.x, r.y) for r in rows] == [("x", "y"), ("1", "two\nlines"), ("2", "one")]
+
+
+# --- versions
+
+
+@pytest.fixture()
+def versioned(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(i, f"l{i % 3}", 2020 + i % 2, float(i)) for i in range(60)], "id int, league string, season int, value double")
+    versions.commit(rows, path, ["league", "season"])
+    return path
+
+
+def sums(df):
+    return {(r.league, r.season): r.v for r in df.groupBy("league", "season").agg(F.sum("value").alias("v")).collect()}
+
+
+def test_a_version_is_seen_whole_or_not_at_all(spark, versioned):
+    """The second partition's rows fail on the way: readers keep the old version, and the next change works."""
+    before = sums(versions.read_version(spark, versioned))
+
+    def half(rows):
+        broken = F.when(F.col("league") == "l2", F.raise_error(F.lit("lost"))).otherwise(F.col("value") + 1)
+        return rows.filter("league <> 'l0'").withColumn("value", broken)
+
+    with pytest.raises(Exception, match="lost"):
+        versions.update(spark, versioned, ["league", "season"], half)
+    assert versions.versions(spark, versioned) == [1] and sums(versions.read_version(spark, versioned)) == before
+    versions.update(spark, versioned, ["league", "season"], lambda rows: rows.filter("league = 'l1'").withColumn("value", F.col("value") * 0))
+    after = sums(versions.read_version(spark, versioned))
+    assert after == {k: 0.0 if k[0] == "l1" else v for k, v in before.items()} and sums(versions.read_version(spark, versioned, 1)) == before
+
+
+def test_two_correctors_at_once_lose_nothing(spark, versioned):
+    before, met = sums(versions.read_version(spark, versioned)), []
+
+    def slow(rows):
+        if not met:
+            met.append(1)
+            versions.update(spark, versioned, ["league", "season"], lambda r: r.filter("league = 'l0'").withColumn("value", F.col("value") + 1000))
+        return rows.withColumn("value", -F.col("value"))
+
+    assert versions.update(spark, versioned, ["league", "season"], slow).number == 3
+    # The slow one starts again from what the fast one has made.
+    assert sums(versions.read_version(spark, versioned)) == {k: -(v + 10_000 if k[0] == "l0" else v) for k, v in before.items()}
+    base = versions.current(spark, versioned, 1)
+    with pytest.raises(versions.Conflict):
+        versions.commit(versions.read_version(spark, versioned, 1), versioned, ["league", "season"], base)
+
+
+def test_old_versions_go_and_empty_ones_stay_readable(spark, versioned, tmp_path):
+    versions.update(spark, versioned, ["league", "season"], lambda rows: rows.filter("season = 2020").withColumn("value", F.lit(1.0)))
+    now = sums(versions.read_version(spark, versioned))
+    versions.commit(versions.read_version(spark, versioned).limit(0), str(tmp_path / "none"), ["league", "season"])
+    empty = versions.read_version(spark, str(tmp_path / "none"))
+    assert empty.count() == 0 and empty.columns == ["id", "league", "season", "value"]
+    assert versions.clean_up(spark, versioned) > 0 and sums(versions.read_version(spark, versioned)) == now and versions.versions(spark, versioned) == [2]
+    with pytest.raises(ValueError):
+        versions.read_version(spark, versioned, 1)
+    with pytest.raises(ValueError):
+        versions.read_version(spark, str(tmp_path / "nothing"))
+    flat = str(tmp_path / "flat")
+    versions.commit(spark.range(5), flat)
+    assert versions.commit(spark.range(7), flat, (), versions.current(spark, flat)).number == 2 and versions.read_version(spark, flat).count() == 7

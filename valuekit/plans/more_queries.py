@@ -14,7 +14,7 @@ from valuekit.plans.model_queries import GROUP, TARGET
 from valuekit.plans.registry import long, query, r4, sql_r4
 from valuekit.plans.table_queries import valued_customers
 from valuekit.session import fresh_path
-from valuekit.sources import readers, writers
+from valuekit.sources import readers, versions, writers
 
 
 @query("read_folder", "SELECT o_orderkey, o_orderpriority AS priority, o_orderstatus AS status FROM orders")
@@ -166,3 +166,20 @@ def model_round_trip(t):
     before = train.score(model, rows, TARGET, "before")
     both = train.score(PipelineModel.load(path), before.withColumnRenamed("before", "__before"), TARGET, "after")
     return both.groupBy(GROUP).agg(F.count("*").alias("n_rows"), F.count_if(F.col("__before").eqNullSafe(F.col("after"))).alias("n_same"))
+
+
+@query(
+    "versioned_updates",
+    f"""SELECT o_orderpriority AS priority, o_orderstatus AS status, count(*) AS n_rows, {sql_r4("sum(o_totalprice + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END)")} AS total
+        FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderkey % 3 > 0 GROUP BY 1, 2""",
+)
+def versioned_updates(t):
+    """Orders committed by priority; one priority's prices raised, rows of another one dropped, each as a version; the last one read."""
+    path = fresh_path(t.spark)
+    orders = t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    versions.commit(orders, path, ["o_orderpriority"])
+    raised = lambda rows: rows.filter("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    versions.update(t.spark, path, ["o_orderpriority"], raised)
+    versions.update(t.spark, path, ["o_orderpriority"], lambda rows: rows.filter("o_orderpriority = '5-LOW' AND o_orderkey % 3 > 0"))
+    rows = versions.read_version(t.spark, path).groupBy(F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    return rows.agg(F.count("*").alias("n_rows"), r4(F.sum("o_totalprice")).alias("total"))

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -64,5 +66,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_WRITTEN: list[str] = []
+
+
 def fresh_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/valuekit-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/valuekit-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what operators write to the shared folder inside the block. Results that are still needed have to be written elsewhere before it ends.
+
+    Blocks may nest. Work that other threads do at the same time counts as the block's own.
+    """
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _WRITTEN[before:]
