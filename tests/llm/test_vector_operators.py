@@ -46,6 +46,22 @@ def test_near_vectors_odd_rows(spark):
     assert near_duplicates(table(spark, [(None, [1.0], 1)])).collect()[0].n_links == 0
 
 
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    """One id under two labels, with two vectors and with equal ones: links and components of each row stay apart."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((4, 8))
+    rows = [(k % 7, (base[k % 4] + 0.05 * rng.standard_normal(8)).astype(np.float32).tolist(), k % 2) for k in range(40)]
+    rows += [rows[3], rows[3], (100, rows[5][1], 1), (2, [1.0] + [0.0] * 7, 1), (2, [1.0] + [0.0] * 7, 0)]
+    # Places stand for ids; a component is the smallest id among its places.
+    placed = plain.near_vectors([(k, v, label) for k, (_, v, label) in enumerate(rows)], 0.93)
+    least = {}
+    for k, (_, component, _) in placed.items():
+        least[component] = min(least.get(component, rows[k][0]), rows[k][0])
+    want = sorted((rows[k][0], rows[k][2], n, least[c], rows[k][0] == least[c]) for k, (n, c, _) in placed.items())
+    got = near_duplicates(table(spark, rows), 0.93)
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got.collect()) == sorted((i, n, c, kept) for i, _, n, c, kept in want)
+
+
 def test_bounds_never_lose_a_pair():
     rng = np.random.default_rng(6)
     for size in (2, 8, 64, 1500):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from valuekit.llm.graph import components
 from valuekit.llm.vectors import common_length, stacked, unit, usable
-from valuekit.scale import attach, settle
+from valuekit.scale import attach, positions, settle
 
 TILE = 1024
 # Directions whose signs put vectors that lie together into the same tiles.
@@ -106,8 +106,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, tile: int = TILE)
     computed from the original numbers. A task puts out a row per vector, not per link.
 
     Vectors of different lengths don't link. Vectors that are null, zero or hold null or non-finite components link with nothing, and neither do
-    rows without label or ``vec_id``; these come back with 0 links and themselves as component. Rows that repeat a ``vec_id`` count as one vector each
-    and get one component. Other columns don't matter; an empty table gives no rows.
+    rows without label or ``vec_id``; these come back with 0 links and themselves as component. Rows that repeat a ``vec_id`` are
+    vectors of their own, each with its own links and component. Other columns don't matter; an empty table gives no rows.
     """
     length = common_length(table.filter(usable(F.col("embedding"))), "embedding")
     vec = F.col("embedding").cast("array<double>")
@@ -128,15 +128,19 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, tile: int = TILE)
         return F.when(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y) > 0, 1 << k).otherwise(0)
 
     classes = settle(classes.withColumn("signs", sum((side(k) for k in range(SIGNS)), F.lit(0)) if length else F.lit(0)))
+    # Classes go by their smallest id; where rows repeat an id with other vectors or labels, by their place in its order.
+    plain = classes.groupBy("first").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    order = [F.col(c) for c in ("first", *group, "fp_a", "fp_b")]
+    classes = classes.withColumn("number", F.col("first")) if plain else settle(positions(classes, [], order, "number"))
     # As many signs as make cells of about a tile; a cell that is larger all the same is dealt out by a hash.
     many = classes.groupBy(*group).agg(F.count("*").alias("n"))
     bits = F.least(F.lit(SIGNS), F.greatest(F.lit(0), F.floor(F.log2(F.col("n") / tile)))).cast("int")
     celled = attach(classes, many, group)
     celled = celled.withColumn("cell", F.col("signs").bitwiseAND((F.pow(F.lit(2), bits) - 1).cast("int")))
     cells = celled.groupBy(*group, "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
-    slot = F.pmod(F.xxhash64("first"), F.col("parts"))
+    slot = F.pmod(F.xxhash64("number"), F.col("parts"))
     dealt = attach(celled, cells, [*group, "cell"]).select(
-        F.col("first").alias("vec_id"), "copies", "vec", *group, F.xxhash64("cell", slot).alias("tile")
+        F.col("number").alias("vec_id"), "copies", "vec", *group, F.xxhash64("cell", slot).alias("tile")
     )
     schema = f"label {dealt.schema['label'].dataType.simpleString()}, length int, tile long, ids binary, copies binary, vecs binary, centre array<double>, wide double"
     tiles = settle(dealt.groupBy(*group, "tile").applyInPandas(_tiles(), schema))
@@ -154,12 +158,15 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, tile: int = TILE)
     found = settle(spread.mapInPandas(_compare(threshold), "vec_id long, links long, hub long"))
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("hub").alias("b")))
-    by_class = classes.select(*group, "fp_a", "fp_b", "first", "copies")
-    by_class = by_class.join(links, by_class["first"] == links["vec_id"], "left").drop("vec_id")
-    by_class = by_class.join(joined, by_class["first"] == joined["id"], "left").select(
+    by_class = classes.select(*group, "fp_a", "fp_b", "number", "copies")
+    by_class = by_class.join(links, by_class["number"] == links["vec_id"], "left").drop("vec_id")
+    by_class = by_class.join(joined, by_class["number"] == joined["id"], "left").select(
         *group, "fp_a", "fp_b",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "first").alias("component_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "number").alias("component_id"),
     )
+    if not plain:
+        smallest = classes.select(F.col("number").alias("component_id"), "first")
+        by_class = by_class.join(smallest, "component_id").drop("component_id").withColumnRenamed("first", "component_id")
     inside = part.select("vec_id", *group, "fp_a", "fp_b").join(by_class, [*group, "fp_a", "fp_b"]).select("vec_id", "n_links", "component_id")
     outside = rows.filter(~F.coalesce(takes, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return inside.unionByName(outside).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
