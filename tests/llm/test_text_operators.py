@@ -14,7 +14,7 @@ from valuekit.llm.automaton import Automaton
 from valuekit.llm.line_dedup import dedup_lines
 from valuekit.llm.mixing import mix_sources
 from valuekit.llm.ngram_join import Search, ngram_join
-from valuekit.llm.pieces import SPACE, Pieces, decode_pieces, encode_pieces
+from valuekit.llm.pieces import SPACE, Pieces, decode_pieces, encode_pieces, round_trip
 from valuekit.llm.pii import PHONE, find_pii, span_text
 from valuekit.llm.quality import classify_quality, features, fit
 from valuekit.llm.secrets import find_secrets, secrets_in
@@ -337,3 +337,11 @@ def test_quality_of_odd_rows(spark):
 def test_digest_of_nothing(spark):
     got = queries.QUERIES["op7_secrets"](spark, FOLDER).filter("spans = ''").first()
     assert got.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_round_trip_gives_what_both_steps_give(spark):
+    df = odd(spark).unionByName(odd(spark, [(1, None), (None, "a  b"), (2, "日本 x"), (2, "日本 x")]))
+    apart = df.select("*", encode_pieces(F.col("text")).alias("ids")).select("doc_id", "text", "ids", decode_pieces(F.col("ids")).alias("decoded"))
+    at_once = df.select("doc_id", "text", round_trip(F.col("text")).alias("both")).select("doc_id", "text", "both.*")
+    assert sorted(map(repr, at_once.collect())) == sorted(map(repr, apart.collect()))
+    assert at_once.filter("decoded != coalesce(text, '')").isEmpty() and df.limit(0).select(round_trip(F.col("text"))).collect() == []

@@ -184,6 +184,18 @@ def decode_pieces(ids: Column, model: str | None = None) -> Column:
     return decode(F.coalesce(ids, F.array().cast("array<int>")))
 
 
+def round_trip(text: Column, model: str | None = None) -> Column:
+    """``(ids, decoded)`` of each text: its ids as from ``encode_pieces``, and the text that ``decode_pieces`` makes of them; in one worker, which holds the pieces once."""
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        pieces = load(_resolved(model))
+        ids = [pieces.encode(t or "") for t in texts]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([pieces.decode(i.tolist()) for i in ids], dtype=object)})
+
+    return both(F.coalesce(text, F.lit("")))
+
+
 def _known(ids: np.ndarray | None) -> list[int]:
     """Ids without nulls, which Arrow turns into NaN."""
     if ids is None:
