@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from valuekit.llm.line_dedup import dedup_lines
 from valuekit.llm.mixing import mix_sources
 from valuekit.llm.ngram_join import BROADCAST_IDS, ngram_join
-from valuekit.llm.pieces import decode_pieces, encode_pieces
+from valuekit.llm.pieces import round_trip
 from valuekit.llm.quality import classify_quality
 from valuekit.scale import positions, settle, settled_size
 from valuekit.session import ship
@@ -60,8 +60,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
-    encoded = docs.select("doc_id", "source", "text", encode_pieces(F.col("text")).alias("ids"))
-    checked = encoded.withColumn("decoded", decode_pieces(F.col("ids")))
+    checked = docs.select("doc_id", "source", "text", round_trip(F.col("text")).alias("both")).select("doc_id", "source", "text", "both.*")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return checked.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("same"))
 
