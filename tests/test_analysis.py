@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from valuekit.operators import analysis
+from valuekit.plans import registry, value_queries
 
 
 def test_gaps_and_reports(frame):
@@ -56,3 +57,10 @@ def test_scatter_and_comparison(frame):
     metrics = frame([("B", "Test", 1.0, 2.0), ("A", "Test", 3.0, 4.0), ("A", "Validation", 5.0, 6.0)], "model string, dataset string, MAE double, rmse double")
     rows = analysis.compare_models(metrics).collect()
     assert [(r.model, r.dataset, r.mae, r.mse, r.rmse) for r in rows] == [("A", "Test", 3.0, 16.0, 4.0), ("A", "Validation", 5.0, 36.0, 6.0), ("B", "Test", 1.0, 4.0, 2.0)]
+
+
+def test_models_are_compared_without_medians(spark, monkeypatch):
+    want = {(r.model, r.dataset): r.mae for r in value_queries.model_comparison(registry.Tables(spark, "/root/testdata/sf0.001")).collect()}
+    monkeypatch.setattr(analysis, "medians", None)
+    got = {(r.model, r.dataset): r.mae for r in value_queries.model_comparison(registry.Tables(spark, "/root/testdata/sf0.001")).collect()}
+    assert got == want and len(got) == 6

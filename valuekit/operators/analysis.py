@@ -64,8 +64,8 @@ def gap_reports(gaps: DataFrame, k: int, tie: Sequence[Column]) -> dict[str, Dat
     }
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """rmse, r2, mae, medae and mape (percent) per group, over rows that have both values."""
+def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = (), middle: bool = True) -> DataFrame:
+    """rmse, r2, mae, medae and mape (percent) per group, over rows that have both values. medae takes further passes; without ``middle`` it is left out."""
     y, p = F.col("y"), F.col("p")
     rows = df.select(*[col(k) for k in by], col(actual).cast("double").alias("y"), col(predicted).cast("double").alias("p"))
     rows = known(rows, ["y", "p"])
@@ -82,10 +82,12 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
         F.avg(F.abs(y - p)).alias("mae"),
         (F.avg(F.abs(y - p) / F.greatest(F.abs(y), F.lit(EPSILON))) * 100).alias("mape"),
     )
-    middle = medians(rows.withColumn("medae", F.abs(y - p)), ["medae"], by)
+    if not middle:
+        return sums
+    found = medians(rows.withColumn("medae", F.abs(y - p)), ["medae"], by)
     if not by:
-        return sums.withColumn("medae", F.lit(middle.first().medae).cast("double"))
-    return null_safe_join(sums, middle, by, "left")
+        return sums.withColumn("medae", F.lit(found.first().medae).cast("double"))
+    return null_safe_join(sums, found, by, "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
