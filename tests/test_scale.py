@@ -149,3 +149,16 @@ def test_scratch_leaves_nothing_behind(spark, tmp_path):
         scale.settle(spark.range(10))
         raise ZeroDivisionError
     assert set(Path(shared_folder(spark)).iterdir()) == before
+
+
+def test_medians_of_few_distinct_values_are_read_off_counts(frame, monkeypatch):
+    """A group beyond the limit with few distinct values takes one pass, not a search by sketches."""
+    monkeypatch.setattr(scale, "_medians_by_sketch", None)
+    rng = np.random.default_rng(4)
+    values = [(g, float(a), None if b % 3 == 0 else float(b)) for g, n in (("big", 999), ("even", 200), (None, 5)) for a, b in rng.integers(0, 12, (n, 2)).tolist()]
+    df = frame([*values, ("none", None, None)], "g string, a double, b double")
+    got = {r.g: (r.a, r.b) for r in scale.medians(df, ["a", "b"], ["g"], 100).collect()}
+    middle = lambda xs: float(np.median(xs)) if xs else None
+    for g in ("big", "even", None, "none"):
+        assert got[g] == tuple(middle([v[k] for v in values if v[0] == g and v[k] is not None]) for k in (1, 2))
+    assert scale.medians(df, ["a"], limit=100).first().a == np.median([v[1] for v in values])

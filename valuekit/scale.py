@@ -188,18 +188,38 @@ def wide_form(df: DataFrame, by: Sequence[str], columns: Sequence[str], value: s
 def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), limit: int = MEDIAN_VALUES) -> DataFrame:
     """Exact, interpolated median of each column per group (NULLs ignored).
 
-    Groups up to ``limit`` values (all columns together) use the built-in exact median. Beyond that the middle of every group is
-    narrowed with quantile sketches until at most ``limit`` distinct values remain, and the middle rank
-    is then read off counted values: exact, with no task holding a whole group.
+    Groups up to ``limit`` values (all columns together) use the built-in exact median. Beyond that the middle rank is read off counted
+    values, if no group has more than about ``limit`` distinct ones: one pass, combined before the shuffle. Else the middle of every group is
+    narrowed with quantile sketches until at most ``limit`` distinct values remain. All are exact, with no task holding a whole group.
     """
     keys = [col(k) for k in by]
     doubles = df.select(*keys, *[col(c).cast("double").alias(c) for c in columns])
-    largest = doubles.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest * len(columns) <= limit:
+    distinct = [F.approx_count_distinct(col(c)) for c in columns]
+    sizes = doubles.groupBy(*keys).agg(F.count("*").alias("n"), F.greatest(F.lit(0), *distinct).alias("d")).agg(F.max("n"), F.max("d")).first()
+    if (sizes[0] or 0) * len(columns) <= limit:
         return doubles.groupBy(*keys).agg(*[F.median(col(c)).alias(c) for c in columns])
+    if sizes[1] <= limit:
+        return _medians_by_count(doubles, list(columns), list(by))
     return _medians_by_sketch(doubles, list(columns), list(by), limit)
 
 
+def _medians_by_count(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    keys = [col(k) for k in [*by, "__column"]]
+    counted = long_form(df, by, columns).groupBy(*keys, "__value").agg(F.count("*").alias("__times"))
+    group = Window.partitionBy(*keys)
+    ranked = counted.withColumns({"__n": F.sum("__times").over(group), "__upto": F.sum("__times").over(group.orderBy("__value"))})
+    middle = ranked.groupBy(*keys).agg(_middle(F.col("__n")).alias("__median"))
+    found = wide_form(middle, by, columns, "__median")
+    return null_safe_join(df.select(*[col(k) for k in by]).distinct(), found, by, "left") if by else found
+
+
+def _middle(n: Column) -> Column:
+    """Median of ``n`` values, over rows of distinct values with the number of values up to each."""
+    value, start, upto = F.col("__value"), F.col("__upto") - F.col("__times"), F.col("__upto")
+    covers = lambda rank: F.max(F.when((rank >= start) & (rank < upto), value))
+    return (covers(F.floor((n - 1) / 2)) + covers(F.floor(n / 2))) / 2
+
+
 def _medians_by_sketch(df: DataFrame, columns: list[str], by: list[str], limit: int) -> DataFrame:
     group = [*by, "__column"]
     keys = [col(k) for k in group]
@@ -210,7 +230,6 @@ def _medians_by_sketch(df: DataFrame, columns: list[str], by: list[str], limit:
         )
     )
     value, low, high = F.col("__value"), F.col("__lo"), F.col("__hi")
-    first_rank, last_rank = F.floor((F.col("__n") - 1) / 2), F.floor(F.col("__n") / 2)
     previous = None
     while True:
         ranged = attach(flat, ends, group)
@@ -226,12 +245,7 @@ def _medians_by_sketch(df: DataFrame, columns: list[str], by: list[str], limit:
     counted = inside.groupBy(*keys, "__n", "__value").agg(F.count("*").alias("__times"))
     running = Window.partitionBy(*keys).orderBy("__value")
     ranked = attach(counted, below, group).withColumn("__upto", F.col("__below") + F.sum("__times").over(running))
-    start = F.col("__upto") - F.col("__times")
-    covers_first = (first_rank >= start) & (first_rank < F.col("__upto"))
-    covers_last = (last_rank >= start) & (last_rank < F.col("__upto"))
-    middle = ranked.groupBy(*keys).agg(
-        ((F.max(F.when(covers_first, value)) + F.max(F.when(covers_last, value))) / 2).alias("__median")
-    )
+    middle = ranked.groupBy(*keys).agg(_middle(F.col("__n")).alias("__median"))
     # Groups without any value have no cells; they come back with NULLs, as from the built-in.
     found = wide_form(middle, by, columns, "__median")
     return null_safe_join(df.select(*[col(k) for k in by]).distinct(), found, by, "left") if by else found
