@@ -162,3 +162,12 @@ def test_medians_of_few_distinct_values_are_read_off_counts(frame, monkeypatch):
     for g in ("big", "even", None, "none"):
         assert got[g] == tuple(middle([v[k] for v in values if v[0] == g and v[k] is not None]) for k in (1, 2))
     assert scale.medians(df, ["a"], limit=100).first().a == np.median([v[1] for v in values])
+
+
+def test_lookup_holds_no_side_in_a_hash_table(spark):
+    """A side that compresses well is small by its shuffled bytes and large in a broadcast: 200,000 numbered names."""
+    numbered = spark.range(200_000).select(F.format_string("Name#%09d", "id").alias("k"), "id")
+    joined = scale.lookup(numbered.select("k").distinct(), numbered, ["k"])
+    assert joined.filter("id IS NULL").count() == 0 and joined.count() == 200_000
+    joined.collect()
+    assert "SortMergeJoin" in plan(joined) and "BroadcastHashJoin" not in plan(joined)

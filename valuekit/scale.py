@@ -112,9 +112,10 @@ def attach(
 def lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join ``dim`` (one row per key) without writing it first, for tables of distinct keys.
 
-    Adaptive execution broadcasts the side whose shuffled bytes turn out small, and splits a partition that a hot key has filled.
+    The join merges sorted partitions, which can spill, and adaptive execution splits one that a hot key has filled. Left to itself it would broadcast a side
+    by its shuffled bytes, and keys that compress well (numbered names) take some fifty times as much in a hash table.
     """
-    return null_safe_join(df, dim, keys, "left")
+    return null_safe_join(df, dim.hint("merge"), keys, "left")
 
 
 def pair_off(
