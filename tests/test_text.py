@@ -101,3 +101,12 @@ def test_strip_equals_python(frame):
     texts = [f"{c}{c}a{c}b{c}" for c in spaces] + ["\u200bx", "ab"]
     assert apply(frame, text.strip, texts) == [t.strip() for t in texts]
     assert apply(frame, text.words, texts) == [t.split() for t in texts]
+
+
+def test_latin_texts_are_told_by_one_test_for_ascii_characters(spark):
+    """A class of many ranges costs a test each for every ASCII character, of which long texts are made; every character is judged as by the plain ranges."""
+    assert text.NOT_PLAIN_LATIN.startswith(r"[[^\x00-\x7f]&&")
+    plain = r"[^\x00-\xbb\xbf-ıĴ-ľŁ-ňŊ-ſ]"
+    codes = spark.range(0x110000).filter("id NOT BETWEEN 55296 AND 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    counted = codes.agg(F.count("*").alias("n"), F.count_if(F.col("c").rlike(plain)).alias("wide"), F.count_if(F.col("c").rlike(plain) != F.col("c").rlike(text.NOT_PLAIN_LATIN)).alias("unlike")).first()
+    assert counted.n == 0x110000 - 2048 and counted.wide > 1_000_000 and counted.unlike == 0

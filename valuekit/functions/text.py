@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 PUNCTUATION = r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]"
-# Anything but Latin characters that fold to one character at most.
-NOT_PLAIN_LATIN = r"[^\x00-\xbb\xbf-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017f]"
+# Anything but Latin characters that fold to one character at most. One test tells for ASCII characters: Java goes through the ranges of a class one by one.
+NOT_PLAIN_LATIN = r"[[^\x00-\x7f]&&[^\x80-\xbb\xbf-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017f]]"
 HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 
 
@@ -76,7 +76,7 @@ def strip_accents(text: Column) -> Column:
         # ASCII characters, most of many texts, are not looked up.
         return F.when(F.ascii(char) < 128, char).when(syllable, F.concat(lead, vowel, tail)).otherwise(F.coalesce(F.element_at(table, char), char))
 
-    wide = rf"{_char_class(list(several))}|[\x{{{HANGUL_FIRST:x}}}-\x{{{HANGUL_LAST:x}}}]"
+    wide = rf"[[^\x00-\x7f]&&[{_char_class(list(several))}\x{{{HANGUL_FIRST:x}}}-\x{{{HANGUL_LAST:x}}}]]"
     unfolded = F.array_join(F.transform(F.split(text, ""), unfold), "")
     # Cheap tests first: ASCII needs nothing, plain Latin letters never unfold.
     many = text.rlike(NOT_PLAIN_LATIN) & text.rlike(wide)
