@@ -13,12 +13,13 @@ from valuekit.llm import queries
 from valuekit.llm.automaton import Automaton
 from valuekit.llm.line_dedup import dedup_lines
 from valuekit.llm.mixing import mix_sources
-from valuekit.llm.ngram_join import Search, ngram_join
+from valuekit.llm import ngram_join as join_module
+from valuekit.llm.ngram_join import Search, Sharers, folded, ngram_join, parities
 from valuekit.llm.pieces import SPACE, Pieces, decode_pieces, encode_pieces, round_trip
 from valuekit.llm.pii import PHONE, find_pii, span_text
 from valuekit.llm.quality import classify_quality, features, fit
 from valuekit.llm.secrets import find_secrets, secrets_in
-from valuekit.llm.shingles import shingle_sets
+from valuekit.llm.shingles import mix, shingle_sets
 from valuekit.llm.token_files import BLOCK, Encoder, decode_blocks, encode_blocks, read_tokens, write_tokens
 
 FOLDER = "/root/testdata/sf0.001"
@@ -70,6 +71,43 @@ def test_join_cuts_large_components(spark, monkeypatch):
     assert found_groups(ngram_join(odd(spark, rows), 3, 0.9)) == plain.jaccard_join(rows, 3, 90)
 
 
+def test_join_routes_only_what_may_be_linked(spark, monkeypatch):
+    """Half of the shingles are everybody's: too few for a link, though everyone shares rare ones with others."""
+    routed, candidates = [], join_module._candidates
+    monkeypatch.setattr(join_module, "_candidates", lambda *given: routed.append(candidates(*given)) or routed[0])
+    head = " ".join(f"h{k}" for k in range(30))
+    rows = [(i, f"{head} " + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(40)]
+    rows += [(100 + i, f"{rows[i][1]} tail") for i in range(3)]
+    assert found_groups(ngram_join(odd(spark, rows), 3, 0.9)) == plain.jaccard_join(rows, 3, 90)
+    assert {r.doc_id for r in routed[0].collect()} <= {0, 1, 2, 100, 101, 102}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 300), min_size=1, max_size=200), min_size=1, max_size=12), st.sampled_from([60, 80, 90]), st.integers(0, 2**32))
+def test_pairs_of_sharers_connect_every_link(bases, percent, seed):
+    rng = np.random.default_rng(seed)
+    sets = {frozenset(b) for b in bases} | {frozenset(x for x in b if rng.random() > 0.04) | {1000 + int(rng.integers(5))} for b in bases for _ in range(4)}
+    ordered = sorted(sets, key=len)
+    hashed = lambda s: np.unique(mix(np.array(sorted(s), np.uint64) + np.uint64(7)))
+    bitmaps = [parities(hashed(s), np.array([len(s)])) for s in ordered]
+    sharers, pairs = Sharers(percent), []
+    for i, (s, bitmap) in enumerate(zip(ordered, bitmaps)):
+        pairs += [(j, i) for j in sharers.add(i, len(s), bitmap)]
+        for j in range(i):
+            assert np.bitwise_count(bitmaps[j] ^ folded(bitmap[None, :], len(bitmaps[j]))[0]).sum() <= len(s ^ ordered[j])
+    reach = plain.groups(range(len(ordered)), pairs)
+    assert all(reach[i] == reach[j] for i, a in enumerate(ordered) for j, b in enumerate(ordered[:i]) if 100 * len(a & b) >= percent * len(a | b))
+
+
+def test_join_compares_all_who_share_a_shingle_or_leaders(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join(f"w{k}" if rng.random() > 0.01 else f"x{rng.integers(10**6)}" for k in range(90))
+    rows = [(i, text()) for i in range(60)]
+    for most in (2, 100):
+        monkeypatch.setattr(join_module, "SHORT_SHARERS", most)
+        assert found_groups(ngram_join(odd(spark, rows), 3, 0.9)) == plain.jaccard_join(rows, 3, 90)
+
+
 def test_join_keys_missing_or_repeated(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (5, "e f g h"), (9, "e f g h")]
     got = sorted((r.doc_id is not None, r.doc_id, r.n_shingles, r.component_id) for r in ngram_join(odd(spark, rows)).collect())
