@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from valuekit.ml import models, search
+from valuekit.ml.ensembles import HistogramForest
 from valuekit.plans import model_queries, registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -45,3 +46,13 @@ def test_single_fits_use_settings_of_the_grids(monkeypatch):
     for query, (_, settings) in ((model_queries.forest_fit_score, models.forest()), (model_queries.gbt_fit_score, models.boosted())):
         fitted = query(None)
         assert any(all(fitted.getOrDefault(fitted.getParam(n)) == v for n, v in setting.items()) for setting in named(settings))
+
+
+def test_rows_are_predicted_once_for_all_metrics(spark):
+    """The metrics take several passes: they read predictions that were written, not the model's function."""
+    rows = [(k % 40, 100.0 + k % 7, float(k % 5), 0.1 * (k % 3), 0.02 * (k % 2), "ANR"[k % 3], "FO"[k % 2]) for k in range(400)]
+    schema = "l_partkey long, l_extendedprice double, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    table = spark.createDataFrame(rows, schema)
+    got = model_queries.fit_and_judge(lambda _: table, HistogramForest(labelCol=models.LOG_LABEL, numTrees=2, maxDepth=2))
+    assert "predict(" not in got._jdf.queryExecution().toString()
+    assert {r.l_returnflag for r in got.collect()} == set("ANR")
